@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from . import problems
+
+_MODULES = (problems,)
+
 
 def queries() -> dict:
-    return {}
+    return {k: q for m in _MODULES for k, q in m.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: q for m in _MODULES for k, q in m.oracle_sql().items()}
