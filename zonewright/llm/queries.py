@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import seen_keys
-from ..functions.names import name_key
+from ..functions.names import key_form, name_key, suffix
+from ..operators import rejects
+from . import raking, seen_keys
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -41,5 +42,45 @@ def p1_insert_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _code_sample(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = _t(spark, d, "domains").select("run_id", "record_id", key_form("algorithm_code").alias("category"), suffix(F.lower("domain")).alias("tld"))
+    plans = _t(spark, d, "algorithm_plan").select("run_id", key_form("algorithm_code").alias("category"), "planned_quota", "updated_at")
+    targets = plans.groupBy("run_id", "category").agg(F.max_by("planned_quota", "updated_at").alias("target"))
+    return raking.draw(rows, targets, "run_id", "category", "record_id", ["tld"])
+
+
+def _line_sample(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    files = _t(spark, d, "file_stats").groupBy("file_id", "run_id", F.col("path").alias("category")).agg(F.max("quota").alias("target"))
+    lines = rejects.loaded_lines(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config"))
+    rows = lines.join(files.select("file_id", "run_id", "category"), "file_id").select(
+        "run_id", "category", F.struct("file_id", "line_no").alias("line"), suffix("name").alias("tld")
+    )
+    targets = files.groupBy("run_id", "category").agg(F.max("target").alias("target"))
+    return raking.draw(rows, targets, "run_id", "category", "line", ["tld"])
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Codes and files whose sample stays short of its target."""
+    _, codes = _code_sample(spark, d)
+    _, files = _line_sample(spark, d)
+    return codes.unionByName(files).where("gap > 0").select("run_id", "category")
+
+
+def p3_code_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted names drawn by the plans of their run."""
+    return _code_sample(spark, d)[0]
+
+
+def p3_line_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Loaded list-file lines drawn by the quotas of their files."""
+    return _line_sample(spark, d)[0].select("run_id", "category", "line.file_id", "line.line_no", "weight")
+
+
+def p3_report(spark: SparkSession, d: str) -> DataFrame:
+    """Target, stock, sample and gap of every code and file."""
+    codes, files = _code_sample(spark, d)[1], _line_sample(spark, d)[1]
+    return codes.select(F.lit("code").alias("kind"), "*").unionByName(files.select(F.lit("file").alias("kind"), "*"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("p") and k[1].isdigit()}
