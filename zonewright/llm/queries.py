@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import key_form, name_key, suffix
 from ..operators import rejects
-from . import raking, seen_keys
+from . import nearkeys, raking, seen_keys
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -82,5 +82,11 @@ def p3_report(spark: SparkSession, d: str) -> DataFrame:
     return codes.select(F.lit("code").alias("kind"), "*").unionByName(files.select(F.lit("file").alias("kind"), "*"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of a new row and an accepted or new row with equal or nearly equal names."""
+    pairs = nearkeys.near_pairs(_t(spark, d, "domains"), _t(spark, d, "new_batch"), "domain", "record_id", "batch_id")
+    return pairs.select(F.col("id_a").alias("record_id_a"), F.col("id_b").alias("record_id_b"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("p") and k[1].isdigit()}
