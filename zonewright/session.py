@@ -6,10 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: str = "8", partitions: int = 8, **extra: str) -> SparkSession:
@@ -74,3 +77,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once an application: a cluster's nodes need not have it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    folder = tempfile.mkdtemp(prefix="zonewright-")
+    atexit.register(shutil.rmtree, folder, True)
+    root = Path(__file__).resolve().parent
+    archive = Path(folder) / "zonewright.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
