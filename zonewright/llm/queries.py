@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.names import key_form, name_key, suffix
 from ..operators import rejects
-from . import nearkeys, raking, seen_keys
+from ..session import materialize
+from . import mixing, nearkeys, packing, raking, reading, seen_keys
+from .tokens import token_count
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -88,5 +90,68 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("id_a").alias("record_id_a"), F.col("id_b").alias("record_id_b"))
 
 
+def _sized(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", "source", token_count(F.col("text")).alias("tokens"))
+    return materialize(docs, "tokens")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that no container holds whole."""
+    packed, _ = packing.pack(_sized(spark, d), "doc_id", "tokens")
+    return packed.where("n_pieces > 1 and piece = 0").select("doc_id")
+
+
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Container of every piece."""
+    return packing.pack(_sized(spark, d), "doc_id", "tokens")[0]
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, how many of them dominance fixed, the fewest possible by volume, and their fill."""
+    packed, plan = packing.pack(_sized(spark, d), "doc_id", "tokens")
+    total = packed.agg(F.sum("tokens").alias("tokens"), F.count_distinct("container").alias("containers"))
+    return total.select(
+        "containers", F.lit(plan.fixed).alias("fixed_by_dominance"), F.ceil(F.col("tokens") / packing.CAPACITY).alias("fewest_by_volume"), "tokens",
+        F.try_divide(F.col("tokens"), F.col("containers") * packing.CAPACITY).alias("fill"),
+    )
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Sources that stay short of their share although used as often as they may be."""
+    return mixing.mix(_sized(spark, d), _t(spark, d, "mix_targets"))[1].where("not reached").select("source")
+
+
+def p7_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of the mixture with their number of copies."""
+    return mixing.mix(_sized(spark, d), _t(spark, d, "mix_targets"))[0]
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of every source."""
+    return mixing.mix(_sized(spark, d), _t(spark, d, "mix_targets"))[1]
+
+
+def _levels(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").where(F.lower("lang") == "en")
+    grades = _t(spark, d, "doc_labels").select("doc_id", F.col("reading_band").alias("grade"))
+    return reading.reading_levels(docs, grades)
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """English documents for readers beyond school."""
+    return _levels(spark, d).where("band >= 4").select("doc_id")
+
+
+def p8_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Reading level of every English document."""
+    return _levels(spark, d)
+
+
+def p8_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of each source and band, with their mean level."""
+    levels = _levels(spark, d).join(_t(spark, d, "documents").select("doc_id", key_form("source").alias("source")), "doc_id")
+    return levels.groupBy("source", "band").agg(F.count("*").alias("documents"), F.avg("level").alias("mean_level"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("p") and k[1].isdigit()}
