@@ -63,10 +63,14 @@ def count_delimiters(text: Column, delim: Column) -> Column:
     return ((F.length(bare) - F.length(F.replace(bare, delim, F.lit("")))) / F.length(delim)).cast("int")
 
 
-def nth_field(text: Column, delim: Column, index: Column) -> Column:
-    """Content of field ``index`` (from 0) of a sound row."""
+def nth_pattern(delim: Column, index: Column) -> Column:
+    """Field ``index`` (from 0) of a sound row, as its first group."""
     f, q = field_pattern(delim), quoted_literal(delim)
-    pattern = F.concat(F.lit(r"\A(?:"), f, q, F.lit("){"), index.cast("string"), F.lit("}+("), f, F.lit(")"))
+    return F.concat(F.lit(r"\A(?:"), f, q, F.lit("){"), index.cast("string"), F.lit("}+("), f, F.lit(")"))
+
+
+def nth_field(text: Column, pattern: Column) -> Column:
+    """Content of the field that an ``nth_pattern`` finds."""
     raw = F.call_function("regexp_extract", text, pattern, F.lit(1))
     inner = F.regexp_replace(F.regexp_replace(raw, r'\A"|"\z', ""), '""', '"')
     return F.when(raw.startswith('"'), inner).otherwise(raw)
@@ -90,7 +94,8 @@ def _lines(raw_lines: DataFrame) -> DataFrame:
 
 
 def file_schemas(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
-    """One row a file: ``file_id, delim, header_line, columns, name_index, column_missing``.
+    """One row a file: ``file_id, delim, header_line, columns, column_missing`` and the patterns of
+    its schema, ``row_re, sound_re, prefix_re, name_re``, made once a file and not once a line.
 
     ``delim`` is null if the file has none, ``header_line`` if it has no header; ``columns`` is
     the header's width, else the commonest width of the sound lines (the smaller of two equally
@@ -128,7 +133,11 @@ def file_schemas(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
     )
     return headed.join(widths, "file_id", "left").select(
         "file_id", "delim", "header_line", F.coalesce("header_columns", "usual", F.lit(1)).alias("columns"),
-        "name_index", (F.col("name_index") < 0).alias("column_missing"),
+        (F.col("name_index") < 0).alias("column_missing"), F.greatest("name_index", F.lit(0)).alias("at"),
+    ).select(
+        "file_id", "delim", "header_line", "columns", "column_missing",
+        row_pattern(F.col("delim"), F.col("columns")).alias("row_re"), sound_pattern(F.col("delim")).alias("sound_re"),
+        prefix_pattern(F.col("delim")).alias("prefix_re"), nth_pattern(F.col("delim"), F.col("at")).alias("name_re"),
     )
 
 
@@ -146,10 +155,10 @@ def classify_lines(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
     lines = lines.withColumn(
         "kind", F.when(F.col("blank"), "blank").when(F.col("line_no").eqNullSafe(F.col("header_line")), "header").otherwise("data")
     )
-    fits = delim.isNull() | matches(line, row_pattern(delim, columns))
+    fits = delim.isNull() | matches(line, F.col("row_re"))
     lines = lines.withColumn("fits", F.when(F.col("kind") == "data", fits))
-    prefix = F.call_function("regexp_extract", line, prefix_pattern(delim), F.lit(0))
-    sound = matches(line, sound_pattern(delim))
+    prefix = F.call_function("regexp_extract", line, F.col("prefix_re"), F.lit(0))
+    sound = matches(line, F.col("sound_re"))
     broken = count_delimiters(prefix, delim) + 1
     row_reason = (
         F.when(F.col("column_missing") & delim.isNotNull(), "domain_column_missing")
@@ -160,7 +169,7 @@ def classify_lines(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
         "broken_field",
         F.when(F.col("row_reason") == "broken_quoting", broken).when(F.col("row_reason") == "column_count", F.least(broken, columns + 1)),
     )
-    cell = F.when(delim.isNull(), line).otherwise(nth_field(line, delim, F.col("name_index")))
+    cell = F.when(delim.isNull(), line).otherwise(nth_field(line, F.col("name_re")))
     lines = lines.withColumn("cell", F.when((F.col("kind") == "data") & F.col("row_reason").isNull(), cell))
     lines = lines.withColumn("normal", strict_name("cell"))
     name_reason = F.when(F.col("cell").isNotNull(), strict_reason(F.col("cell"), F.col("normal")))
@@ -173,6 +182,16 @@ def classify_lines(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
     )
 
 
+def cells(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
+    """``file_id, line_no, cell``: the name cell of each data line with sound quoting that has that
+    field, whatever its number of columns; lines of files without the named column have none."""
+    lines = _lines(raw_lines).where(~F.col("blank")).join(file_schemas(raw_lines, parse_config), "file_id")
+    line, delim = F.col("line"), F.col("delim")
+    data = lines.where(~F.col("line_no").eqNullSafe(F.col("header_line")) & (delim.isNull() | ~F.col("column_missing") & matches(line, F.col("sound_re"))))
+    there = delim.isNull() | (F.call_function("regexp_instr", line, F.col("name_re")) > 0)
+    return data.where(there).select("file_id", "line_no", F.when(delim.isNull(), line).otherwise(nth_field(line, F.col("name_re"))).alias("cell"))
+
+
 def rejected_lines(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
     """``file_id, line_no, reason, broken_field`` of the data lines that fail."""
     return classify_lines(raw_lines, parse_config).where("kind = 'invalid'").select("file_id", "line_no", "reason", "broken_field")
