@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import key_form
+from ..operators import cuts
 from ..session import materialize
-from . import cuts
 
 
 def source_budgets(docs: DataFrame, targets: DataFrame, total: Column | None = None) -> DataFrame:

@@ -21,8 +21,8 @@ from bisect import bisect_right, insort
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import cuts
 from ..session import materialize
-from . import cuts
 
 CAPACITY = 2048
 

@@ -5,7 +5,7 @@
    each margin in turn meets its targets. A sweep is one window a margin over the cells, which are
    as many as there are combinations of categories, however many rows there are.
 3. Each row draws an exponential key, -ln(u) / weight; within a category the rows with the smallest
-   keys are taken up to its quota, by distributed prefix sums (``cuts``), so no category is held in
+   keys are taken up to its quota, by distributed prefix sums (``operators.cuts``), so no category is held in
    one task.
 4. Quotas are repaired first to the minimum of small categories and to what there is; what remains
    between target and sample is reported for every category.
@@ -16,8 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators import cuts
 from ..session import materialize
-from . import cuts
 
 
 def rake(cells: DataFrame, margins: list[tuple[list[str], str]], count: str = "n", sweeps: int = 4, rounds: int = 4, tolerance: float = 0.005) -> DataFrame:
@@ -74,7 +74,7 @@ def draw(
     """
     keys = [stratum, category]
     named = F.col(category).isNotNull() & F.col(stratum).isNotNull()
-    narrow = rows.where(named).select(*dict.fromkeys([row_id, *keys, *also]))
+    narrow = materialize(rows.where(named).select(*dict.fromkeys([row_id, *keys, *also])), "rows")
     cells = materialize(narrow.groupBy(*keys, *also).agg(F.count("*").alias("n")), "cells")
     available = cells.groupBy(*keys).agg(F.sum("n").alias("available"))
     wanted = materialize(quotas(available, targets.where(named).select(*keys, "target"), keys, minimum), "quotas")
