@@ -75,10 +75,12 @@ def write_splits(data: DataFrame, path: str, split: str = "split", mode: str = "
     data.write.partitionBy(split).mode(mode).parquet(path)
 
 
-def write_csv(rows: DataFrame, path: str, order: str | None = None, mode: str = "errorifexists") -> None:
-    """CSV with a header; in an order, that column is left out."""
+def write_csv(rows: DataFrame, path: str, order: str | None = None, mode: str = "errorifexists", null_text: str = "") -> None:
+    """CSV with a header; in an order, that column is left out. With a ``null_text`` of its own, nulls
+    and empty texts can be told apart again."""
     out = rows.orderBy(order).drop(order) if order else rows
-    out.write.option("header", True).mode(mode).csv(path)
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    out.write.options(header=True, nullValue=null_text, **keep).mode(mode).csv(path)
 
 
 # -- ARFF -------------------------------------------------------------------------------------
