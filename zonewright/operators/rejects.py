@@ -30,7 +30,8 @@ def quoted_literal(c: Column) -> Column:
 def field_pattern(delim: Column) -> Column:
     """One sound field: enclosed with doubled inner quotes, or free of quotes and delimiters."""
     q = quoted_literal(delim)
-    return F.concat(F.lit('(?:"[^"]*+(?:""[^"]*+)*+"|(?!")(?:(?!'), q, F.lit(')[^"])*+)'))
+    bare = F.when(F.length(delim) == 1, F.concat(F.lit('[^"'), q, F.lit("]*+"))).otherwise(F.concat(F.lit("(?:(?!"), q, F.lit(')[^"])*+')))
+    return F.concat(F.lit('(?:"[^"]*+(?:""[^"]*+)*+"|(?!")'), bare, F.lit(")"))
 
 
 def row_pattern(delim: Column, columns: Column) -> Column:
