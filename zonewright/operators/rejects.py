@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import strict_name, strict_reason, strip
+from ..session import materialize
 
 # Fixed values.
 DELIMITERS = (",", "\t", ";", "|")
@@ -95,8 +96,7 @@ def _lines(raw_lines: DataFrame) -> DataFrame:
 
 
 def file_schemas(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
-    """One row a file: ``file_id, delim, header_line, columns, column_missing`` and the patterns of
-    its schema, ``row_re, sound_re, prefix_re, name_re``, made once a file and not once a line.
+    """One row a file: ``file_id, delim, header_line, columns, name_index, column_missing``.
 
     ``delim`` is null if the file has none, ``header_line`` if it has no header; ``columns`` is
     the header's width, else the commonest width of the sound lines (the smaller of two equally
@@ -124,6 +124,8 @@ def file_schemas(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
         F.when(F.col("has_header"), F.size("cells")).alias("header_columns"),
         F.when(F.col("has_header") & F.col("wanted").isNotNull(), F.array_position("cells", F.col("wanted")).cast("int") - 1).otherwise(0).alias("name_index"),
     )
+    # written, so that its size is known when the next pass over the lines is planned
+    headed = materialize(headed, "headed")
     # the commonest width, for files with a delimiter but no header
     loose = headed.where(F.col("delim").isNotNull() & F.col("header_line").isNull()).select("file_id", "delim")
     widths = (
@@ -132,14 +134,29 @@ def file_schemas(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
         .groupBy("file_id", (count_delimiters(F.col("line"), F.col("delim")) + 1).alias("width")).count()
         .groupBy("file_id").agg(F.max_by("width", F.struct("count", -F.col("width"))).alias("usual"))
     )
-    return headed.join(widths, "file_id", "left").select(
+    schemas = headed.join(widths, "file_id", "left").select(
         "file_id", "delim", "header_line", F.coalesce("header_columns", "usual", F.lit(1)).alias("columns"),
-        (F.col("name_index") < 0).alias("column_missing"), F.greatest("name_index", F.lit(0)).alias("at"),
-    ).select(
-        "file_id", "delim", "header_line", "columns", "column_missing",
-        row_pattern(F.col("delim"), F.col("columns")).alias("row_re"), sound_pattern(F.col("delim")).alias("sound_re"),
-        prefix_pattern(F.col("delim")).alias("prefix_re"), nth_pattern(F.col("delim"), F.col("at")).alias("name_re"),
+        F.greatest("name_index", F.lit(0)).alias("name_index"), (F.col("name_index") < 0).alias("column_missing"),
     )
+    return materialize(schemas, "schemas")
+
+
+def schema_patterns(schemas: DataFrame) -> DataFrame:
+    """``delim, columns, name_index, row_re, sound_re, prefix_re, name_re``: the patterns of every
+    schema that occurs, made once for all files that share it."""
+    delim, columns, at = F.col("delim"), F.col("columns"), F.col("name_index")
+    kinds = schemas.where(delim.isNotNull()).select(delim, columns, at).distinct()
+    made = kinds.select(
+        delim, columns, at, row_pattern(delim, columns).alias("row_re"), sound_pattern(delim).alias("sound_re"),
+        prefix_pattern(delim).alias("prefix_re"), nth_pattern(delim, at).alias("name_re"),
+    )
+    return materialize(made, "patterns")
+
+
+def _with_schema(lines: DataFrame, raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
+    """Lines beside the schema of their file and its patterns (null without a delimiter)."""
+    schemas = file_schemas(raw_lines, parse_config)
+    return lines.join(schemas, "file_id").join(schema_patterns(schemas), ["delim", "columns", "name_index"], "left")
 
 
 def classify_lines(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
@@ -148,10 +165,10 @@ def classify_lines(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
     ``kind`` is ``blank``, ``header``, ``valid`` or ``invalid``. ``name`` is the normal name of a
     valid line; ``reason`` says why a line is invalid, ``broken_field`` (from 1) where the row
     pattern failed, null if it held. Null lines are blank ones; repeated lines are all kept. The
-    schemas are joined by file: they are broadcast if their measured size allows, otherwise the
-    partition of a large file is split by the adaptive skew join.
+    schemas are written first and joined by file: Spark broadcasts them if their size is below its
+    threshold, and lines are not moved; otherwise the adaptive join splits a file that is too large.
     """
-    lines = _lines(raw_lines).join(file_schemas(raw_lines, parse_config), "file_id")
+    lines = _with_schema(_lines(raw_lines), raw_lines, parse_config)
     line, delim, columns = F.col("line"), F.col("delim"), F.col("columns")
     lines = lines.withColumn(
         "kind", F.when(F.col("blank"), "blank").when(F.col("line_no").eqNullSafe(F.col("header_line")), "header").otherwise("data")
@@ -186,7 +203,7 @@ def classify_lines(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
 def cells(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
     """``file_id, line_no, cell``: the name cell of each data line with sound quoting that has that
     field, whatever its number of columns; lines of files without the named column have none."""
-    lines = _lines(raw_lines).where(~F.col("blank")).join(file_schemas(raw_lines, parse_config), "file_id")
+    lines = _with_schema(_lines(raw_lines).where(~F.col("blank")), raw_lines, parse_config)
     line, delim = F.col("line"), F.col("delim")
     data = lines.where(~F.col("line_no").eqNullSafe(F.col("header_line")) & (delim.isNull() | ~F.col("column_missing") & matches(line, F.col("sound_re"))))
     there = delim.isNull() | (F.call_function("regexp_instr", line, F.col("name_re")) > 0)
