@@ -20,16 +20,21 @@ from ..operators import cuts
 from ..session import materialize
 
 
-def rake(cells: DataFrame, margins: list[tuple[list[str], str]], count: str = "n", sweeps: int = 4, rounds: int = 4, tolerance: float = 0.005) -> DataFrame:
+def rake(
+    cells: DataFrame, margins: list[tuple[list[str], str]], count: str = "n", stratum: str | None = None,
+    sweeps: int = 4, rounds: int = 4, tolerance: float = 0.005,
+) -> DataFrame:
     """``cells`` with ``weight`` such that ``sum(count * weight)`` over the cells of each margin
     meets the margin's target, as nearly as the margins allow together.
 
     A margin is its columns and the column that holds its target, the same in all its cells. Cells
-    whose target is 0 in any margin get weight 0. Sweeps are written to the shared folder after
+    whose target is 0 in any margin get weight 0. If every margin lies within a ``stratum``, cells are
+    placed by it once a round, and the sweeps shuffle no more. Sweeps are written to the shared folder after
     each round of ``sweeps``; rounds end when no margin is off by more than ``tolerance``.
     """
     out = cells.withColumn("weight", F.lit(1.0))
     for _ in range(rounds):
+        out = out.repartition(stratum) if stratum else out
         for _ in range(sweeps):
             for cols, target in margins:
                 total = F.sum(F.col(count) * F.col("weight")).over(Window.partitionBy(*cols))
@@ -78,7 +83,7 @@ def draw(
     cells = materialize(narrow.groupBy(*keys, *also).agg(F.count("*").alias("n")), "cells")
     available = cells.groupBy(*keys).agg(F.sum("n").alias("available"))
     wanted = materialize(quotas(available, targets.where(named).select(*keys, "target"), keys, minimum), "quotas")
-    planned = cells.join(wanted.select(*keys, F.col("quota").alias("t0")), keys)
+    planned = cells.join(wanted.select(*keys, F.col("quota").alias("t0")), keys).repartition(stratum)
     margins = [(keys, "t0")]
     in_stratum = Window.partitionBy(stratum)
     # the stratum's sample size, each category counted once
@@ -87,7 +92,7 @@ def draw(
     for i, m in enumerate(also, 1):
         planned = planned.withColumn(f"t{i}", F.col("size_") * F.sum("n").over(Window.partitionBy(stratum, m)) / F.col("rows_"))
         margins.insert(0, ([stratum, m], f"t{i}"))
-    weights = rake(planned.select(*keys, *also, "n", *[t for _, t in margins]), margins).select(*keys, *also, "weight", "t0", "n")
+    weights = rake(planned.select(*keys, *also, "n", *[t for _, t in margins]), margins, stratum=stratum).select(*keys, *also, "weight", "t0", "n")
     weights = weights.withColumn("mean_", F.sum(F.col("weight") * F.col("n")).over(Window.partitionBy(*keys)) / F.sum("n").over(Window.partitionBy(*keys)))
     same = _null_safe(narrow, weights, [*keys, *also])
     keyed = narrow.join(weights, same).select(narrow[row_id].alias("id_"), *[narrow[k] for k in keys], "weight", "mean_", "t0")
