@@ -101,3 +101,18 @@ def refill(pool: DataFrame, source: str, name: str, weights: DataFrame, missing:
     chosen = drawn.join(F.broadcast(table) if len(edges) <= 10_000 else table, (F.col("u") >= F.col("low")) & (F.col("u") < F.col("high")))
     chosen = chosen.select("slot", "source", F.pmod(F.col("v"), F.col("size")).cast("bigint").alias("index"))
     return chosen.join(indexed.select("source", "index", "name"), ["source", "index"]).select("slot", "source", "name")
+
+
+def sample_sources(pool: DataFrame, source: str, name: str, quotas: DataFrame, replacement: bool = False, seed: int = 42) -> DataFrame:
+    """``source, name``: exactly ``quota`` rows of each source in hash order; where it has fewer, all
+    of them and, with ``replacement``, repeats of them up to the quota."""
+    key = F.col(source)
+    placed = pool.select(key.alias("source"), F.col(name).alias("name")).withColumn("place_", cuts.unit_hash(F.col("name"), seed=seed))
+    ranked = cuts.prefix_sums(placed, ["source"], "place_", "name", F.lit(1))
+    wanted = quotas.select(F.col(source).alias("source"), "quota")
+    joined = ranked.join(wanted, "source").where(F.col("before_") < F.col("quota"))
+    if not replacement:
+        return joined.select("source", "name")
+    # row i stands for the slots i, i + size, i + 2 size, ... below the quota
+    copies = F.ceil((F.col("quota") - F.col("before_")) / F.col("group_total_")).cast("int")
+    return joined.select("source", "name", F.explode(F.sequence(F.lit(1), copies)).alias("copy")).select("source", "name")

@@ -19,7 +19,7 @@ def discover(spark: SparkSession, directory: str) -> list[str]:
     where = jvm.org.apache.hadoop.fs.Path(directory)
     fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = []
-    for s in fs.listStatus(where):
+    for s in fs.listStatus(where) if fs.exists(where) else []:
         name = s.getPath().getName()
         if s.isFile() and not name.startswith(".") and name.lower().endswith(SUFFIXES):
             found.append(s.getPath().toString())
@@ -128,3 +128,10 @@ def scraped_names(rows: DataFrame, text: str, key: str) -> DataFrame:
     """``key, name``: everything in a text that looks like a name, in lower case."""
     pattern = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
     return rows.select(key, F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).alias("n")).select(key, F.lower("n").alias("name"))
+
+
+def json_members(rows: DataFrame, text: str, number: str) -> DataFrame:
+    """``member, value`` of JSON objects of objects, by ``number``, a whole number in each member;
+    members that are no objects or lack it are left out."""
+    each = rows.select(F.explode(F.from_json(text, "map<string,string>")).alias("member", "value"))
+    return each.withColumn(number, F.get_json_object("value", f"$.{number}").try_cast("bigint")).where(F.col(number).isNotNull()).orderBy(number, "member")
