@@ -150,8 +150,9 @@ def plan_containers(counts: dict[int, int], capacity: int = CAPACITY) -> _Plan:
 
 def pieces(docs: DataFrame, doc_id: str, size: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, n_pieces, tokens``: one piece a document, more only if it exceeds the capacity."""
-    n = F.greatest(F.ceil(F.col(size) / capacity), F.lit(1)).cast("int")
-    part = docs.select(F.col(doc_id).alias("doc_id"), F.col(size).alias("all_"), n.alias("n_pieces"))
+    whole = F.coalesce(F.col(size), F.lit(0))
+    n = F.greatest(F.ceil(whole / capacity), F.lit(1)).cast("int")
+    part = docs.select(F.col(doc_id).alias("doc_id"), whole.alias("all_"), n.alias("n_pieces"))
     part = part.select("*", F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)).alias("piece"))
     return part.select("doc_id", "piece", "n_pieces", F.least(F.col("all_") - F.col("piece") * capacity, F.lit(capacity)).alias("tokens"))
 
@@ -159,7 +160,8 @@ def pieces(docs: DataFrame, doc_id: str, size: str, capacity: int = CAPACITY) ->
 def pack(docs: DataFrame, doc_id: str, size: str, capacity: int = CAPACITY) -> tuple[DataFrame, _Plan]:
     """``doc_id, piece, n_pieces, tokens, container`` of every piece, and the plan.
 
-    ``doc_id`` must be unique. Documents without tokens need no container: theirs is null. No
+    ``doc_id`` must be unique. Documents without tokens (null counts as 0) need no
+    container: theirs is null. No
     documents give no rows. Containers are numbered from 0 without gaps.
     """
     spark: SparkSession = docs.sparkSession
