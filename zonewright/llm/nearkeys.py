@@ -101,11 +101,11 @@ class NearKeyIndex:
         probe = probe.where("length > 0")
         # edits to the left of the shared gram plus edits to its right
         left = F.col("left") - F.col("p_left")
-        fits = (F.col("left") < 0) | (F.abs(left) + F.abs(F.col("shift") - left) <= EDITS)
+        fits = (F.col("left") < 0) | (F.col("p_left") < 0) | (F.abs(left) + F.abs(F.col("shift") - left) <= EDITS)
         pairs = None
         for t in self.tables:
             held = self.spark.table(t).hint("merge")
-            hits = probe.join(held, ["gram", "length"]).where(((F.col("left") < 0) == (F.col("p_left") < 0)) & fits & (F.col("name") != F.col("p_name")))
+            hits = probe.join(held, ["gram", "length"]).where(fits & (F.col("name") != F.col("p_name")))
             hits = hits.where(F.levenshtein("name", "p_name", EDITS) >= 0).select(F.col("p_name").alias("name"), F.col("name").alias("other"))
             pairs = hits if pairs is None else pairs.unionByName(hits)
         return pairs.distinct()
