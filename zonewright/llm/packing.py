@@ -5,10 +5,11 @@ of at most ``capacity`` counts: it is aggregated by Spark, and planned on the dr
 number of documents. The plan names for each size which of its documents, by rank, go where:
 
 1. A document longer than the capacity fills whole containers; its remainder joins the others.
-2. Dominance reduction: take the largest size j. If no rest that fits beside it can hold more than
-   the largest single partner i does, the set {j, i} (or {j} alone) dominates every other set with
-   j, so it is fixed for good, for as many documents as there are of both, and the instance
-   shrinks. This repeats until a size has no dominating set.
+2. Dominance reduction: take the largest size j. If no rest that fits beside it holds more than the
+   largest single partner i does (decided exactly, by subset sums), the set {j, i} (or {j} alone)
+   dominates every other set with j: whatever else were put beside j could take the place of i. So
+   it is fixed for good, for as many documents as there are of both, and the instance shrinks.
+   Sizes without a dominating set are left.
 3. The remainder is packed best-fit by falling size, on groups of containers with equal free space.
 
 Ranks of equal sizes come from distributed prefix sums, so a frequent size is no hot spot.
@@ -47,25 +48,19 @@ class _Plan:
         self.left[size] -= n * each
 
 
-def _best_rest(sizes: list[int], left: dict[int, int], room: int, partner: int) -> bool:
-    """Whether two or more of the sizes can fill ``room`` with more than ``partner``."""
-    if room == partner:  # nothing can hold more than all
-        return False
-    small = sizes[0]
-    if 2 * small > room:
-        return False
-    # largest sum of two, by two fingers; three or more need three times the smallest
-    if 3 * small <= room:
-        return True  # not decided: treated as not dominated
-    lo, hi, best = 0, len(sizes) - 1, 0
-    while lo <= hi:
-        total = sizes[lo] + sizes[hi]
-        if lo == hi and left[sizes[lo]] < 2 or total > room:
-            hi -= 1
-        else:
-            best = max(best, total)
-            lo += 1
-    return best > partner
+def _fullest_rest(sizes: list[int], left: dict[int, int], room: int, j: int) -> int:
+    """Largest sum of the documents at hand, beside one of size ``j``, that is at most ``room``:
+    subset sums as the bits of one number, counts doubled up."""
+    sums, mask = 1, (1 << (room + 1)) - 1
+    for s in reversed(sizes[: bisect_right(sizes, room)]):
+        n, step = min(left[s] - (s == j), room // s), 1
+        while n > 0:
+            take = min(step, n)
+            sums |= (sums << (s * take)) & mask
+            n, step = n - take, step * 2
+        if sums >> room:
+            return room
+    return sums.bit_length() - 1
 
 
 def reduce_instance(plan: _Plan, capacity: int) -> None:
@@ -85,7 +80,7 @@ def reduce_instance(plan: _Plan, capacity: int) -> None:
         if not partner:
             n = plan.left[j]
             plan.put(j, plan.open(n), n)
-        elif _best_rest(sizes, plan.left, room, partner):
+        elif _fullest_rest(sizes, plan.left, room, j) > partner:
             undecided.add(j)
             continue
         elif partner == j:
