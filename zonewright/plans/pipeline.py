@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing, registry
 from ..operators import balance, cuts, dedup, quota, rejects, sampling, stats, validate
-from ..session import materialize
+from ..session import materialize, spread
 from ..sinks import files
 from ..sources import lists
 
@@ -106,8 +106,7 @@ def build_dataset(spark: SparkSession, listed: str, generated: str, out: str, op
         gen = materialize(balance.generated_names(lists.read_pairs(spark, generated, True), "domain", "code", "pos"), "generated")
         bare = materialize(balance.listed_names(lists.read_pairs(spark, listed, False), "domain", "pos", gen), "listed")
         chosen = materialize(balance.balanced(gen, bare, opt.seed), "chosen")
-        spread = chosen.repartition(spark.sparkContext.defaultParallelism)
-        data = files.final_rows(registry.with_features(spread, "domain", reg), reg)
+        data = files.final_rows(registry.with_features(spread(chosen), "domain", reg), reg)
         split = hashing.split_of("DOMAIN", opt.seed, opt.train, opt.validation, opt.test)
         if opt.splits:
             files.write_splits(data.withColumn("split", split), str(root / "data"), mode=mode)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import hashing, lexical, registry
 from ..functions import names as nm
 from ..operators import balance, dedup, quota, rejects, sampling, space, stats, validate
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch_path, spread
 from ..sinks import files
 from ..sources import lists
 from ..streaming import store
@@ -392,14 +392,14 @@ def _rounded(df: DataFrame, names) -> DataFrame:
 @query(f"WITH src AS (SELECT sample_id AS id, domain FROM sample_records), {feature_ctes('src')} SELECT * RENAME (id AS sample_id) FROM featured")
 def features54(spark: SparkSession, d: str) -> DataFrame:
     """The 54 default features of every sampled name."""
-    rows = _t(spark, d, "sample_records").select("sample_id", "domain").repartition(spark.sparkContext.defaultParallelism)
+    rows = spread(_t(spark, d, "sample_records").select("sample_id", "domain"))
     return _rounded(registry.with_features(rows, "domain").drop("domain"), registry.DEFAULT_NAMES)
 
 
 @query()
 def features145(spark: SparkSession, d: str) -> DataFrame:
     """The whole feature catalogue for every stored name."""
-    rows = _t(spark, d, "domains").select("record_id", nm.final_name("domain").alias("domain")).repartition(spark.sparkContext.defaultParallelism)
+    rows = spread(_t(spark, d, "domains").select("record_id", nm.final_name("domain").alias("domain")))
     return registry.with_features(rows, "domain", registry.catalogue_registry())
 
 
@@ -438,7 +438,7 @@ def balanced_names(spark: SparkSession, d: str) -> DataFrame:
 )
 def build_dataset(spark: SparkSession, d: str) -> DataFrame:
     """The flagship: balanced names, their 54 features, class, label and split."""
-    chosen = materialize(selected(spark, d), "chosen").repartition(spark.sparkContext.defaultParallelism)
+    chosen = spread(materialize(selected(spark, d), "chosen"))
     data = files.final_rows(registry.with_features(chosen, "domain"), registry.DEFAULT)
     return _rounded(data, registry.DEFAULT_NAMES).withColumn("LABEL", F.col("LABEL").cast("int")).withColumn("SPLIT", hashing.split_of("DOMAIN"))
 
