@@ -2,6 +2,37 @@
 
 from __future__ import annotations
 
+from ..functions.names import BLANKS
+
+_LIST = f"nullif(rtrim(lower(trim(replace(domain, chr(65279), ''), '{BLANKS}')), '.'), '')"
+_ASCII = f"regexp_replace({_LIST}, '[^ -~]', '?', 'g')"  # levenshtein counts bytes here
+_KEY = "nullif(lower(trim({0}, '" + BLANKS + "')), '')"
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p1_list_form_seen": f"""
+            WITH a AS (SELECT attempt_id, {_LIST} AS k FROM insert_attempts), f AS (SELECT k, min(attempt_id) AS first FROM a WHERE k IS NOT NULL GROUP BY k),
+            s AS (SELECT DISTINCT {_LIST} AS k FROM domains)
+            SELECT attempt_id FROM a JOIN f USING (k) WHERE attempt_id > first OR k IN (SELECT k FROM s WHERE k IS NOT NULL)""",
+        "p3_code_report": f"""
+            WITH p AS (SELECT run_id, {_KEY.format("algorithm_code")} AS category, max(updated_at) AS latest FROM algorithm_plan GROUP BY ALL),
+            q AS (SELECT p.run_id, p.category, max(a.planned_quota) AS target FROM p JOIN algorithm_plan a
+                ON a.run_id = p.run_id AND {_KEY.format("a.algorithm_code")} = p.category AND a.updated_at = p.latest GROUP BY ALL),
+            n AS (SELECT run_id, {_KEY.format("algorithm_code")} AS category, count(*) AS available FROM domains GROUP BY ALL)
+            SELECT run_id, category, target, coalesce(available, 0) AS available, least(greatest(coalesce(target, 0), 1), coalesce(available, 0)) AS sampled,
+                CASE WHEN target IS NOT NULL THEN greatest(target - least(greatest(target, 1), coalesce(available, 0)), 0) END AS gap
+            FROM q FULL JOIN (SELECT * FROM n WHERE category IS NOT NULL) USING (run_id, category)""",
+        "p5_list_form_pairs": f"""
+            WITH o AS (SELECT record_id, {_ASCII} AS k FROM domains), b AS (SELECT record_id, {_ASCII} AS k FROM new_batch), x AS (SELECT * FROM o UNION ALL SELECT * FROM b)
+            SELECT x.record_id AS record_id_a, b.record_id AS record_id_b FROM x JOIN b ON x.record_id < b.record_id
+            WHERE abs(length(x.k) - length(b.k)) <= 2 AND levenshtein(x.k, b.k) <= 2""",
+        "p6_char_pieces": """
+            SELECT doc_id, greatest(ceil(coalesce(length(text), 0) / 8192), 1)::BIGINT AS n_pieces, coalesce(length(text), 0)::BIGINT AS chars,
+                ceil(coalesce(length(text), 0) / 8192)::BIGINT AS n_containers FROM documents""",
+        "p7_char_report": f"""
+            WITH d AS (SELECT {_KEY.format("source")} AS k, sum(coalesce(length(text), 0)) AS n FROM documents GROUP BY 1), t AS (SELECT sum(n) AS total FROM d),
+            r AS (SELECT source, coalesce(n, 0)::BIGINT AS stock_tokens, target_share * total AS b, greatest(target_share * total - max_repeats * coalesce(n, 0), 0) AS m
+                FROM mix_targets LEFT JOIN d ON {_KEY.format("source")} = k, t)
+            SELECT source, stock_tokens, round(b, 4) AS budget, round(m, 4) AS missing, m = 0 AS reached FROM r""",
+    }

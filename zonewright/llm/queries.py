@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import key_form, name_key, suffix
+from ..functions.names import key_form, list_name, name_key, suffix
 from ..operators import rejects
 from ..session import materialize
 from . import mixing, nearkeys, packing, raking, reading, seen_keys
@@ -153,5 +153,48 @@ def p8_profile(spark: SparkSession, d: str) -> DataFrame:
     return levels.groupBy("source", "band").agg(F.count("*").alias("documents"), F.avg("level").alias("mean_level"))
 
 
+# The same operators with names and sizes that SQL can make too, so that whole tables can be compared.
+
+
+def _list_key(c):
+    n = list_name(c)
+    return F.when(n != "", n)
+
+
+def p1_list_form_seen(spark: SparkSession, d: str) -> DataFrame:
+    """Attempts seen before, names compared in the form of list files (no IDNA)."""
+    ids, _ = seen_keys.seen_before(_t(spark, d, "domains"), _t(spark, d, "insert_attempts"), "domain", "attempt_id", normal=_list_key)
+    return ids.select(F.col("id").alias("attempt_id"))
+
+
+def p3_code_report(spark: SparkSession, d: str) -> DataFrame:
+    """Target, stock, sample and gap of every code."""
+    return _code_sample(spark, d)[1]
+
+
+def p5_list_form_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Near pairs, names compared in the form of list files (no IDNA), other than ASCII as ``?``."""
+    ascii_key = lambda c: F.regexp_replace(_list_key(c), "[^ -~]", "?")
+    pairs = nearkeys.near_pairs(_t(spark, d, "domains"), _t(spark, d, "new_batch"), "domain", "record_id", "batch_id", normal=ascii_key)
+    return pairs.select(F.col("id_a").alias("record_id_a"), F.col("id_b").alias("record_id_b"))
+
+
+def _chars(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).alias("tokens"))
+    return materialize(docs, "chars")
+
+
+def p6_char_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Pieces and packed characters of each document, in containers of 8,192 characters."""
+    packed, _ = packing.pack(_chars(spark, d), "doc_id", "tokens", 8192)
+    return packed.groupBy("doc_id").agg(F.count("*").alias("n_pieces"), F.sum("tokens").alias("chars"), F.count("container").alias("n_containers"))
+
+
+def p7_char_report(spark: SparkSession, d: str) -> DataFrame:
+    """Stock, budget and shortfall of each source in characters."""
+    report = mixing.mix(_chars(spark, d), _t(spark, d, "mix_targets"))[1]
+    return report.select("source", "stock_tokens", F.round("budget_tokens", 4).alias("budget"), F.round("missing_tokens", 4).alias("missing"), "reached")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("p") and k[1].isdigit()}
