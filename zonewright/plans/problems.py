@@ -50,6 +50,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return rejects.rejected_lines(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config")).select("file_id", "line_no", "reason")
 
 
+def p4_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Failing lines with the first field that breaks the pattern of their file."""
+    return rejects.rejected_lines(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config"))
+
+
 def p4_loaded(spark: SparkSession, d: str) -> DataFrame:
     """Names of the list-file lines that load."""
     return rejects.loaded_lines(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config"))

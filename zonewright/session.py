@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import io
 import shutil
 import tempfile
 import uuid
@@ -87,16 +88,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give Python workers this package, once an application: a cluster's nodes need not have it."""
+    """Give Python workers this package through the shared folder, once an application: the nodes of a
+    cluster need not have it."""
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
-    folder = tempfile.mkdtemp(prefix="zonewright-")
-    atexit.register(shutil.rmtree, folder, True)
     root = Path(__file__).resolve().parent
-    archive = Path(folder) / "zonewright.zip"
-    with zipfile.ZipFile(archive, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
-    spark.sparkContext.addPyFile(str(archive))
+    target = f"{scratch_path(spark, 'package')}.zip"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)
+    out.write(packed.getvalue())
+    out.close()
+    spark.sparkContext.addPyFile(target)
     _SHIPPED.add(app)
