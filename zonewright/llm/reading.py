@@ -23,14 +23,16 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, ship_package
 
-FEATURES = 1 << 17
+FEATURES = 1 << 16
 FREE_WEIGHT = 0.05
 ITERATIONS = 6
 TOLERANCE = 0.01
 GRADES = (1, 2, 3, 4, 5)
-# Abbreviations whose dot ends no sentence; what is stripped from the ends of a word.
+# Abbreviations whose dot ends no sentence; marks at the ends of a word.
 ABBREVIATIONS = r"(?i)\b(?:e\.g|i\.e|etc|vs|cf)\."
-PUNCTUATION = ".,;:!?\"'()*-[]"
+_ENDS = r"""[.,;:!?"'()*\[\]-]*+"""
+#: A word: what stands between blanks is letters, but for marks at its ends and hyphens inside.
+WORD = rf"(?:\A|\s){_ENDS}([a-z]++(?:['’-][a-z]++)*+){_ENDS}(?=\s|\z)"
 
 
 def running_sentences(text: Column) -> Column:
@@ -38,45 +40,64 @@ def running_sentences(text: Column) -> Column:
     hashes are no running text: a sentence ends with a mark and consists of words by half or more."""
     clean = F.regexp_replace(text, r"<[^<>]{1,200}>", " ")
     clean = F.regexp_replace(clean, r"&(?:[A-Za-z]{2,8}|#[0-9]{1,6});", " ")
-    clean = F.regexp_replace(clean, ABBREVIATIONS, " ")
-    parts = F.split(clean, r"""\n|(?<=[.!?])["')]*+\s++""")
-    parts = F.filter(parts, lambda s: s.rlike(r"""[.!?]["')]*+\s*+\z"""))
-    words = lambda tokens: F.filter(F.transform(tokens, lambda t: F.trim(F.lower(t), F.lit(PUNCTUATION))), lambda w: w.rlike(r"\A[a-z]+(?:['’-][a-z]+)*\z"))
-    both = F.transform(parts, lambda s: F.split(F.trim(s), r"\s+"))
-    both = F.transform(both, lambda t: F.struct(F.size(t).alias("n"), words(t).alias("words")))
+    clean = F.lower(F.regexp_replace(clean, ABBREVIATIONS, " "))
+    parts = F.filter(F.split(clean, r"""\n|(?<=[.!?])["')]*+\s++"""), lambda s: s.rlike(r"""[.!?]["')]*+\s*+\z"""))
+    both = F.transform(parts, lambda s: F.struct(F.regexp_count(s, F.lit(r"\S++")).alias("n"), F.regexp_extract_all(s, F.lit(WORD), F.lit(1)).alias("words")))
     kept = F.filter(both, lambda b: (F.size(b["words"]) >= 3) & (F.size(b["words"]) * 2 >= b["n"]))
     return F.transform(kept, lambda b: b["words"])
 
 
 def _features(words: Column) -> Column:
+    """Features of a sentence as numbers: its words, its pairs of words, its length class as often as
+    a third of its words."""
+    place = lambda h: F.pmod(h, F.lit(FEATURES)).cast("int")
     n = F.size(words)
-    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.concat(F.get(words, i - 1), F.lit(" "), F.get(words, i)))
-    length = F.array_repeat(F.concat(F.lit("#"), F.least((n / 4).cast("int"), F.lit(12)).cast("string")), F.greatest((n / 3).cast("int"), F.lit(1)))
-    return F.transform(F.concat(words, pairs, length), lambda f: F.pmod(F.xxhash64(f), F.lit(FEATURES)).cast("int"))
-
-
-class _Docs:
-    """Arrow batches of documents as flat numpy vectors."""
-
-    def __init__(self, batch: pa.RecordBatch, weight: np.ndarray):
-        t = pa.Table.from_batches([batch])
-        lens, feats = t["lens"].combine_chunks(), t["feats"].combine_chunks()
-        self.n = t.num_rows
-        per_doc = np.diff(lens.offsets.to_numpy())
-        self.ids = t["doc_id"].to_numpy()
-        self.grade = t["grade"].to_numpy(zero_copy_only=False).astype(float)
-        length = lens.flatten().to_numpy(zero_copy_only=False)
-        self.idx = feats.flatten().to_numpy(zero_copy_only=False)
-        self.sent_doc = np.repeat(np.arange(self.n), per_doc)
-        self.sent = np.repeat(np.arange(len(length)), length)
-        w = weight[self.idx]
-        self.votes = w / np.bincount(self.sent, w, minlength=len(length))[self.sent]
-        self.sents = np.maximum(per_doc, 1)
-        self.edge = self.votes / self.sents[self.sent_doc[self.sent]]
-        self.doc = self.sent_doc[self.sent]
-
-    def levels(self, score: np.ndarray) -> np.ndarray:
-        return np.bincount(self.doc, self.edge * score[self.idx], minlength=self.n)
+    single = F.transform(words, lambda w: place(F.xxhash64(w)))
+    pairs = F.zip_with(F.slice(words, F.lit(1), n - 1), F.slice(words, F.lit(2), n - 1), lambda v, w: place(F.xxhash64(v, w)))
+    length = F.array_repeat(place(F.xxhash64(F.lit("length"), F.least((n / 4).cast("int"), F.lit(12)))), F.greatest((n / 3).cast("int"), F.lit(1)))
+    return F.concat(single, pairs, length)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number lists as bytes: features in 2 each, sentence lengths in 4. Lists would be converted
+    number by number between the JVM and Python in every pass, bytes are copied."""
+    for b in batches:
+        packed = []
+        for name, kind in (("feats", "<u2"), ("lens", "<i4")):
+            c = b.column(name)
+            data = c.flatten().to_numpy(zero_copy_only=False).astype(kind).tobytes()
+            ends = (np.cumsum(np.diff(c.offsets.to_numpy())) * np.dtype(kind).itemsize).astype("int32")
+            packed.append(pa.Array.from_buffers(pa.binary(), len(c), [None, pa.py_buffer(np.r_[np.int32(0), ends].astype("int32").tobytes()), pa.py_buffer(data)]))
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("grade"), *packed], names=["doc_id", "grade", "feats", "lens"])
+
+
+def _flat(batch: pa.RecordBatch, name: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a packed column one after the other, and how many each row has."""
+    column = batch.column(name)
+    ends = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    return data.view(kind), np.diff(ends) // np.dtype(kind).itemsize
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per partition: how often each feature occurs."""
+    n = np.zeros(FEATURES)
+    for b in batches:
+        if b.num_rows:
+            n += np.bincount(_flat(b, "feats", "<u2")[0], minlength=FEATURES)
+    at = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype("int32")), pa.array(n[at]), pa.array(n[at])], names=["feature", "num", "den"])
+
+
+def _graph(batch: pa.RecordBatch, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, weights and document numbers of the edges of a batch. The weights of a document add up
+    to 1: every sentence has the same share, divided among its features by their weight."""
+    idx, n_feats = _flat(batch, "feats", "<u2")
+    length, n_sents = _flat(batch, "lens", "<i4")
+    w = weight[idx]
+    starts = np.r_[0, np.cumsum(length)[:-1]]
+    share = 1.0 / (np.add.reduceat(w, starts) * np.repeat(n_sents, n_sents))
+    return idx, w * np.repeat(share, length), np.repeat(np.arange(batch.num_rows), n_feats)
 
 
 def _spread(score, weight, knots, free: float):
@@ -87,13 +108,13 @@ def _spread(score, weight, knots, free: float):
         for b in batches:
             if not b.num_rows:
                 continue
-            d = _Docs(b, weight.value)
+            idx, edge, doc = _graph(b, weight.value)
             if score is None:
-                level, mass = d.grade, np.ones(d.n)
+                level, mass = b.column("grade").to_numpy(zero_copy_only=False).astype(float), 1.0
             else:
-                level, mass = np.interp(d.levels(score.value), *knots), np.full(d.n, free)
-            num += np.bincount(d.idx, d.edge * (level * mass)[d.doc], minlength=FEATURES)
-            den += np.bincount(d.idx, d.edge * mass[d.doc], minlength=FEATURES)
+                level, mass = np.interp(np.bincount(doc, edge * score.value[idx], minlength=b.num_rows), *knots), free
+            num += np.bincount(idx, edge * level[doc], minlength=FEATURES) * mass
+            den += np.bincount(idx, edge, minlength=FEATURES) * mass
         at = np.flatnonzero(den)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype("int32")), pa.array(num[at]), pa.array(den[at])], names=["feature", "num", "den"])
 
@@ -107,8 +128,8 @@ def _read(score, weight, knots):
         for b in batches:
             if not b.num_rows:
                 continue
-            d = _Docs(b, weight.value)
-            raw = d.levels(score.value)
+            idx, edge, doc = _graph(b, weight.value)
+            raw = np.bincount(doc, edge * score.value[idx], minlength=b.num_rows)
             level = np.interp(raw, *knots) if knots else raw
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("grade"), pa.array(raw), pa.array(level)], names=["doc_id", "grade", "raw", "level"])
 
@@ -148,16 +169,14 @@ def reading_levels(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", t
     told = grades.where(F.col("grade").between(GRADES[0], GRADES[-1])).groupBy("doc_id").agg(F.avg("grade").cast("double").alias("grade"))
     sentences = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.transform(running_sentences(F.col(text)), _features).alias("s"))
     rows = sentences.join(told, "doc_id", "left").select(
-        "doc_id", "grade", F.transform("s", lambda f: F.size(f)).alias("lens"), F.flatten("s").alias("feats")
+        "doc_id", "grade", F.coalesce(F.transform("s", lambda f: F.size(f)), F.array().cast("array<int>")).alias("lens"), F.coalesce(F.flatten("s"), F.array().cast("array<int>")).alias("feats")
     )
-    table = materialize(rows, "reading")
-    full = table.where(F.size("lens") > 0)
-    empty = table.where(F.coalesce(F.size("lens"), F.lit(0)) <= 0).select("doc_id", F.lit(None).cast("double").alias("level"), F.lit(None).cast("int").alias("band"))
-    graded, free = full.where("grade is not null"), full.where("grade is null")
-    counts = np.zeros(FEATURES)
-    for f, n in full.select(F.explode("feats").alias("f")).groupBy("f").count().collect():  # at most FEATURES rows
-        counts[f] = n
+    table = materialize(rows.mapInArrow(_pack, "doc_id bigint, grade double, feats binary, lens binary"), "reading")
+    full = table.where(F.length("lens") > 0)
+    empty = table.where(F.length("lens") == 0).select("doc_id", F.lit(None).cast("double").alias("level"), F.lit(None).cast("int").alias("band"))
+    counts, _ = _vector_sums(full, _count)
     weight = sc.broadcast(1.0 / np.sqrt(counts + 1.0))
+    graded, free = full.where("grade is not null"), full.where("grade is null")
     num0, den0 = _vector_sums(graded, _spread(None, weight, None, 1.0))
     if not den0.any():
         return full.select("doc_id", F.lit(None).cast("double").alias("level"), F.lit(None).cast("int").alias("band")).unionByName(empty)
