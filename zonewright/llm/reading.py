@@ -6,7 +6,8 @@ rarity, so that neither one long sentence nor frequent words decide. Graded docu
 to their grade. An iteration is harmonic on both sides: a feature takes the weighted mean level of
 its documents, a document the mean over its sentences; clamped documents weigh 1, others
 ``FREE_WEIGHT``. The means of means shrink towards the middle, so levels are mapped back by the
-mean level of each grade among the graded documents (piecewise linear), in every iteration.
+mean level of each grade among the graded documents (piecewise linear), in every iteration; at the
+end, by the boundaries that part neighbouring grades best.
 
 Features are hashed to ``FEATURES`` numbers: what is held on the driver and sent to the executors
 between iterations are vectors of that fixed length. Documents stay in a table of the shared folder.
@@ -27,6 +28,7 @@ FEATURES = 1 << 16
 FREE_WEIGHT = 0.05
 ITERATIONS = 6
 TOLERANCE = 0.01
+BINS = 2000
 GRADES = (1, 2, 3, 4, 5)
 # Abbreviations whose dot ends no sentence; marks at the ends of a word.
 ABBREVIATIONS = r"(?i)\b(?:e\.g|i\.e|etc|vs|cf)\."
@@ -156,6 +158,33 @@ def _knots(graded: DataFrame, score, weight) -> tuple[list[float], list[float]]:
     return xs, ys
 
 
+def _boundaries(graded: DataFrame, score, weight) -> tuple[list[float], list[float]]:
+    """The map from raw levels to grades by which bands are told: between two neighbouring grades, the
+    raw level that parts the graded documents with the fewest errors (the middle of the widest such
+    range). Raw levels are counted in ``BINS`` ranges by grade, so the driver gets a table of fixed size."""
+    rows = graded.mapInArrow(_read(score, weight, None), "doc_id bigint, grade double, raw double, level double")
+    low, width = float(GRADES[0]), (GRADES[-1] - GRADES[0]) / BINS
+    at = F.least(F.greatest(F.floor((F.col("raw") - low) / width), F.lit(0)), F.lit(BINS - 1)).cast("int")
+    counts = np.zeros((GRADES[-1] + 1, BINS))
+    for g, b, n in rows.groupBy(F.floor(F.col("grade") + 0.5).cast("int").alias("g"), at.alias("b")).count().collect():
+        counts[g, b] = n
+    middle = low + (np.arange(BINS) + 0.5) * width
+    found = [(float(middle @ counts[g] / counts[g].sum()), float(g)) for g in (GRADES[0], GRADES[-1]) if counts[g].any()]
+    for g in GRADES[:-1]:
+        below, above = counts[: g + 1].sum(axis=0), counts[g + 1 :].sum(axis=0)
+        if below.any() and above.any():
+            errors = np.r_[0, np.cumsum(above)] + below.sum() - np.r_[0, np.cumsum(below)]
+            best = np.flatnonzero(errors == errors.min())
+            widest = max(np.split(best, np.flatnonzero(np.diff(best) > 1) + 1), key=len)
+            found.append((low + (widest[0] + widest[-1]) / 2 * width, g + 0.5))
+    xs, ys = [], []
+    for x, y in sorted(found, key=lambda k: k[1]):
+        if not xs or x > xs[-1] + 1e-9:
+            xs.append(x)
+            ys.append(y)
+    return xs, ys
+
+
 def reading_levels(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, level, band`` of each document with running text; ``level`` is continuous from 1
     to 5, ``band`` the nearest whole grade (halves upwards).
@@ -193,6 +222,6 @@ def reading_levels(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", t
         if change < TOLERANCE:
             break
     sent = sc.broadcast(score)
-    knots = _knots(graded, sent, weight)
+    knots = _boundaries(graded, sent, weight)
     levels = full.mapInArrow(_read(sent, weight, knots), "doc_id bigint, grade double, raw double, level double")
     return levels.select("doc_id", "level", F.floor(F.col("level") + 0.5).cast("int").alias("band")).unionByName(empty)
