@@ -452,7 +452,18 @@ def build_from_lists(spark: SparkSession, d: str) -> DataFrame:
     return balance.balanced(gen, listed)
 
 
-@query()
+@query(
+    f"""WITH g AS (SELECT {_FINAL.format('domain')} AS domain, {_KEY.format('class_value')} AS k FROM sample_records WHERE label = 1), v AS (SELECT domain FROM g WHERE domain IS NOT NULL AND k IS NOT NULL),
+    l AS (SELECT sample_id, {_FINAL.format('domain')} AS domain FROM sample_records WHERE label = 0),
+    u AS (SELECT domain, min(sample_id) AS pos FROM l WHERE domain IS NOT NULL AND domain NOT IN (SELECT domain FROM v) GROUP BY domain),
+    n AS (SELECT count(DISTINCT domain) AS n FROM v), cut AS (SELECT CASE WHEN count(*) >= any_value(n) THEN max(pos) END AS last FROM (SELECT pos, n FROM u, n QUALIFY row_number() OVER (ORDER BY pos) <= n)),
+    s AS (SELECT l.* FROM l, cut WHERE last IS NULL OR sample_id <= last)
+    SELECT (SELECT count(*) FROM g) AS generated_rows_read, (SELECT count(*) FROM g) - (SELECT count(*) FROM v) AS generated_invalid,
+      (SELECT count(*) - count(DISTINCT domain) FROM v) AS generated_duplicates, (SELECT n FROM n) AS generated_unique, count(*) AS listed_rows_read, count(*) FILTER (domain IS NULL) AS listed_invalid,
+      count(*) FILTER (domain IN (SELECT domain FROM v)) AS listed_overlap,
+      count(*) FILTER (domain IS NOT NULL AND domain NOT IN (SELECT domain FROM v)) - count(DISTINCT domain) FILTER (domain NOT IN (SELECT domain FROM v)) AS listed_duplicates,
+      count(DISTINCT domain) FILTER (domain NOT IN (SELECT domain FROM v)) AS listed_unique FROM s"""
+)
 def selection_counts(spark: SparkSession, d: str) -> DataFrame:
     """Counters of both scans, the listed one up to where its class was full."""
     rows = _t(spark, d, "sample_records")
@@ -493,7 +504,13 @@ def rolling_yields(spark: SparkSession, d: str) -> DataFrame:
     return y.withColumns({c: _r(c) for c in ("yield_sum", "yield_mean", "yield_median")})
 
 
-@query()
+@query(
+    """WITH p AS (SELECT *, row_number() OVER (ORDER BY run_id, algorithm_code, updated_at) AS id FROM (SELECT DISTINCT run_id, algorithm_code, updated_at, batch_yield_history AS h FROM algorithm_plan)),
+    v AS (SELECT id, run_id, algorithm_code, updated_at, unnest(h) AS x, unnest(range(len(h))) AS step FROM p), l AS (SELECT *, coalesce(x < 0.3 AND NOT isnan(x), false) AS low FROM v),
+    i AS (SELECT *, sum(CASE WHEN low THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY step) AS island, max(step) OVER (PARTITION BY id) AS last FROM l),
+    r AS (SELECT id, run_id, algorithm_code, updated_at, island, count(*) FILTER (low) AS n, max(step) = max(last) AS open FROM i GROUP BY ALL)
+    SELECT run_id, algorithm_code, updated_at, max(n) AS longest_low, max(CASE WHEN open THEN n ELSE 0 END) AS current_low FROM r GROUP BY id, run_id, algorithm_code, updated_at"""
+)
 def low_streaks(spark: SparkSession, d: str) -> DataFrame:
     """Longest and current run of low yields of each plan."""
     keys = ["run_id", "algorithm_code", "updated_at", "h"]
@@ -525,7 +542,10 @@ def name_structure(spark: SparkSession, d: str) -> DataFrame:
     return stats.structure(rows, "code", "domain").withColumns({c: _r(c) for c in ("log10_capacity", "pooled_entropy")})
 
 
-@query()
+@query(
+    f"""SELECT code, reverse(left(a, list_max(list_filter(range(0, least(length(a), length(b)) + 1), lambda i: left(a, i) = left(b, i))))) AS common_suffix
+    FROM (SELECT {_KEY.format('class_value')} AS code, min(reverse(domain)) AS a, max(reverse(domain)) AS b FROM sample_records GROUP BY 1)"""
+)
 def common_suffixes(spark: SparkSession, d: str) -> DataFrame:
     """Longest common suffix of the names of each class."""
     return stats.common_suffix(_t(spark, d, "sample_records").select(nm.key_form("class_value").alias("code"), "domain"), "code", "domain")
@@ -611,7 +631,7 @@ def parquet_parts(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query()
+@query("SELECT sample_id, floor((sum(size) OVER (ORDER BY sample_id) - size) / 100000)::INT AS part FROM (SELECT sample_id, greatest(128, length(domain) + 8 * 4 + 64) AS size FROM sample_records)")
 def part_numbers(spark: SparkSession, d: str) -> DataFrame:
     """Which part of 100 kB by estimate each sample belongs to."""
     return files.part_numbers(_t(spark, d, "sample_records").select("sample_id", "domain", "class_value", "label"), "sample_id", "domain", 100_000).select("sample_id", "part")
