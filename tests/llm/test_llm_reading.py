@@ -74,3 +74,22 @@ def test_query_agrees_with_levels(spark):
     d = "/root/testdata/sf0.001"
     rows = queries.p8_levels(spark, d).collect()
     assert {r.doc_id for r in queries.p8_found(spark, d).collect()} == {r.doc_id for r in rows if r.band and r.band >= 4}
+
+
+def test_every_document_has_a_row(spark):
+    d = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.lang for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang").collect()}
+    got = {r.doc_id: r.level for r in queries.p8_levels(spark, d).collect()}
+    assert got.keys() == docs.keys()
+    assert got[306] is not None and got[521] is not None  # English prose without a language, and und
+    assert all(got[i] is None for i, lang in docs.items() if lang in ("es", "de"))
+    assert sum(r.documents for r in queries.p8_profile(spark, d).collect()) == len(docs)
+    assert {docs[r.doc_id] for r in queries.p8_found(spark, d).collect()} == {"en"}
+
+
+def test_sentences_of_other_languages(spark):
+    docs, grades = corpus()
+    rows = [(i, t, True) for i, t in docs] + [(300, " ".join(HARD), None), (301, "El registro busca otro nombre. Vimos en la lista. El aviso es corto.", None), (302, "El aviso es corto. " + EASY[0], False)]
+    got = reading.reading_levels(spark.createDataFrame(rows, "doc_id long, text string, en boolean"), spark.createDataFrame(grades, "doc_id long, grade int"), english=reading.F.col("en"))
+    got = {r.doc_id: r.band for r in got.collect()}
+    assert (got[300], got[301], got[302]) == (5, None, 1)

@@ -132,18 +132,18 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _levels(spark: SparkSession, d: str) -> DataFrame:
-    docs = _t(spark, d, "documents").where(F.lower("lang") == "en")
     grades = _t(spark, d, "doc_labels").select("doc_id", F.col("reading_band").alias("grade"))
-    return reading.reading_levels(docs, grades)
+    return reading.reading_levels(_t(spark, d, "documents"), grades, english=F.lower("lang") == "en")
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """English documents for readers beyond school."""
-    return _levels(spark, d).where("band >= 4").select("doc_id")
+    english = _t(spark, d, "documents").where(F.lower("lang") == "en").select("doc_id")
+    return _levels(spark, d).where("band >= 4").select("doc_id").join(english, "doc_id", "left_semi")
 
 
 def p8_levels(spark: SparkSession, d: str) -> DataFrame:
-    """Reading level of every English document."""
+    """Reading level of every document, null without running English."""
     return _levels(spark, d)
 
 

@@ -37,6 +37,24 @@ _ENDS = r"""[.,;:!?"'()*\[\]-]*+"""
 WORD = rf"(?:\A|\s){_ENDS}([a-z]++(?:['’-][a-z]++)*+){_ENDS}(?=\s|\z)"
 
 
+# Words of grammar that tell English from its neighbours, and those of Spanish, German, French,
+# Italian, Portuguese and Dutch that no English sentence needs.
+_ENGLISH = """the of and to is are that it for with this be by from or not have has had which we you they were been its their our your
+ he she his her can could will would should may if when who what how these those than then there into because but at each about between after does did""".split()
+_OTHER = """el la los las del de en que y un una es por con para su sus se al lo como pero sin este esta son ha der die das und ist nicht ein eine
+ einen einem einer den dem des mit von zu auf im sich wird werden auch wir sie oder nur durch hat kam le les et est une du dans pour qui sur pas
+ il di che non per sono della os um uma da em het een van""".split()
+
+
+def english_sentences(sentences: Column) -> Column:
+    """Of the sentences of a text in an unknown or another language, those in English: with more words of
+    English grammar than of others, and, if that holds for the text as a whole, those with as many."""
+    held = lambda words, known: F.size(F.filter(words, lambda w: w.isin(known)))
+    lead = F.transform(sentences, lambda s: F.struct(s.alias("s"), (held(s, _ENGLISH) - held(s, _OTHER)).alias("n")))
+    least = F.when(F.aggregate(lead, F.lit(0), lambda a, x: a + x["n"]) > 0, 0).otherwise(1)
+    return F.transform(F.filter(lead, lambda x: x["n"] >= least), lambda x: x["s"])
+
+
 def running_sentences(text: Column) -> Column:
     """Sentences as arrays of lower-case words. Markup, entities, list and log lines, names and
     hashes are no running text: a sentence ends with a mark and consists of words by half or more."""
@@ -185,18 +203,20 @@ def _boundaries(graded: DataFrame, score, weight) -> tuple[list[float], list[flo
     return xs, ys
 
 
-def reading_levels(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def reading_levels(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str = "text", english: Column | None = None) -> DataFrame:
     """``doc_id, level, band`` of each document with running text; ``level`` is continuous from 1
     to 5, ``band`` the nearest whole grade (halves upwards).
 
     ``grades`` has ``doc_id, grade``; several grades of a document are averaged, grades outside 1
-    to 5 and null grades do not count. Documents without running text (null, empty, lists only)
-    get null. Without any graded document with text all levels are null.
+    to 5 and null grades do not count. Where ``english`` is not true, the text may be in any language and
+    only its English sentences count; without it all texts are English. Documents without running English
+    (null, empty, lists only, other languages) get null. Without any graded document with text all levels are null.
     """
     sc = docs.sparkSession.sparkContext
     ship_package(docs.sparkSession)
     told = grades.where(F.col("grade").between(GRADES[0], GRADES[-1])).groupBy("doc_id").agg(F.avg("grade").cast("double").alias("grade"))
-    sentences = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.transform(running_sentences(F.col(text)), _features).alias("s"))
+    read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), running_sentences(F.col(text)).alias("s"), (F.lit(True) if english is None else F.coalesce(english, F.lit(False))).alias("told"))
+    sentences = read.select("doc_id", F.transform(F.when(F.col("told"), F.col("s")).otherwise(english_sentences(F.col("s"))), _features).alias("s"))
     rows = sentences.join(told, "doc_id", "left").select(
         "doc_id", "grade", F.coalesce(F.transform("s", lambda f: F.size(f)), F.array().cast("array<int>")).alias("lens"), F.coalesce(F.flatten("s"), F.array().cast("array<int>")).alias("feats")
     )
