@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 from zonewright.llm import queries, reading
 
 EASY = ["The cat sat on the mat.", "We see a red dog.", "It is a big box.", "The sun is hot today.", "You can run and play.", "A bird sits in the tree."]
@@ -93,3 +94,19 @@ def test_sentences_of_other_languages(spark):
     got = reading.reading_levels(spark.createDataFrame(rows, "doc_id long, text string, en boolean"), spark.createDataFrame(grades, "doc_id long, grade int"), english=reading.F.col("en"))
     got = {r.doc_id: r.band for r in got.collect()}
     assert (got[300], got[301], got[302]) == (5, None, 1)
+
+
+def test_features_do_not_collide(spark):
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    docs = [(i, " ".join(name(6 * i + k) for k in range(6)).capitalize() + ".") for i in range(50_000)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").select(F.explode(F.flatten(F.transform(reading.running_sentences(F.col("text")), reading._features))).alias("f"))
+    assert rows.select("f").distinct().count() == 50_000 * 11 + 1  # words, pairs, and one length class
+    got = levels(spark, [*docs[:3000], (60_000, docs[0][1]), (60_001, docs[1][1])], [(0, 1), (1, 5)])
+    assert (got[60_000].band, got[60_001].band) == (1, 5)
+
+
+def test_small_blocks_give_the_same_levels(spark, monkeypatch):
+    docs, grades = corpus()
+    whole = levels(spark, docs, grades)
+    monkeypatch.setattr(reading, "BLOCK", 40)
+    assert all(abs(r.level - whole[i].level) < 1e-9 for i, r in levels(spark, docs, grades).items())

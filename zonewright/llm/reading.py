@@ -9,22 +9,27 @@ its documents, a document the mean over its sentences; clamped documents weigh 1
 mean level of each grade among the graded documents (piecewise linear), in every iteration; at the
 end, by the boundaries that part neighbouring grades best.
 
-Features are hashed to ``FEATURES`` numbers: what is held on the driver and sent to the executors
-between iterations are vectors of that fixed length. Documents stay in a table of the shared folder.
+A feature is its 64-bit hash. Documents lie in blocks of at most ``BLOCK`` occurrences of features (or one
+document) in a table of the shared folder, their features numbered within the block. The level and weight
+of every feature are a table too, joined with the features of each block in every pass: no task holds
+more than a block, and the driver holds no feature.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, ship_package
+from ..session import materialize, scratch_path, ship_package, shuffle_partitions
 
-FEATURES = 1 << 16
+BLOCK = 1 << 21
 FREE_WEIGHT = 0.05
 ITERATIONS = 6
 TOLERANCE = 0.01
@@ -70,104 +75,147 @@ def running_sentences(text: Column) -> Column:
 def _features(words: Column) -> Column:
     """Features of a sentence as numbers: its words, its pairs of words, its length class as often as
     a third of its words."""
-    place = lambda h: F.pmod(h, F.lit(FEATURES)).cast("int")
     n = F.size(words)
-    single = F.transform(words, lambda w: place(F.xxhash64(w)))
-    pairs = F.zip_with(F.slice(words, F.lit(1), n - 1), F.slice(words, F.lit(2), n - 1), lambda v, w: place(F.xxhash64(v, w)))
-    length = F.array_repeat(place(F.xxhash64(F.lit("length"), F.least((n / 4).cast("int"), F.lit(12)))), F.greatest((n / 3).cast("int"), F.lit(1)))
+    single = F.transform(words, lambda w: F.xxhash64(w))
+    pairs = F.zip_with(F.slice(words, F.lit(1), n - 1), F.slice(words, F.lit(2), n - 1), lambda v, w: F.xxhash64(v, w))
+    length = F.array_repeat(F.xxhash64(F.lit("length"), F.least((n / 4).cast("int"), F.lit(12))), F.greatest((n / 3).cast("int"), F.lit(1)))
     return F.concat(single, pairs, length)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number lists as bytes: features in 2 each, sentence lengths in 4. Lists would be converted
-    number by number between the JVM and Python in every pass, bytes are copied."""
-    for b in batches:
-        packed = []
-        for name, kind in (("feats", "<u2"), ("lens", "<i4")):
-            c = b.column(name)
-            data = c.flatten().to_numpy(zero_copy_only=False).astype(kind).tobytes()
-            ends = (np.cumsum(np.diff(c.offsets.to_numpy())) * np.dtype(kind).itemsize).astype("int32")
-            packed.append(pa.Array.from_buffers(pa.binary(), len(c), [None, pa.py_buffer(np.r_[np.int32(0), ends].astype("int32").tobytes()), pa.py_buffer(data)]))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("grade"), *packed], names=["doc_id", "grade", "feats", "lens"])
-
-
-def _flat(batch: pa.RecordBatch, name: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of a packed column one after the other, and how many each row has."""
-    column = batch.column(name)
-    ends = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
-    return data.view(kind), np.diff(ends) // np.dtype(kind).itemsize
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per partition: how often each feature occurs."""
-    n = np.zeros(FEATURES)
-    for b in batches:
-        if b.num_rows:
-            n += np.bincount(_flat(b, "feats", "<u2")[0], minlength=FEATURES)
-    at = np.flatnonzero(n)
-    yield pa.RecordBatch.from_arrays([pa.array(at.astype("int32")), pa.array(n[at]), pa.array(n[at])], names=["feature", "num", "den"])
+BLOCKS = "block bigint, graded boolean, ids binary, grades binary, sents binary, lens binary, feats binary, terms binary, counts binary"
 
 
-def _graph(batch: pa.RecordBatch, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, weights and document numbers of the edges of a batch. The weights of a document add up
-    to 1: every sentence has the same share, divided among its features by their weight."""
-    idx, n_feats = _flat(batch, "feats", "<u2")
-    length, n_sents = _flat(batch, "lens", "<i4")
-    w = weight[idx]
-    starts = np.r_[0, np.cumsum(length)[:-1]]
-    share = 1.0 / (np.add.reduceat(w, starts) * np.repeat(n_sents, n_sents))
-    return idx, w * np.repeat(share, length), np.repeat(np.arange(batch.num_rows), n_feats)
+def _block(number: int, graded: bool, rows: pa.RecordBatch) -> pa.RecordBatch:
+    """One row: documents with their numbers as bytes (lists would be converted number by number between
+    the JVM and Python in every pass), and the features they hold, by their number in the block."""
+    coded = rows.column("feats").flatten().dictionary_encode()
+    terms, idx = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy(zero_copy_only=False)
+    lens = rows.column("lens")
+    parts = [
+        rows.column("doc_id").to_numpy(zero_copy_only=False).astype("<i8"), rows.column("grade").to_numpy(zero_copy_only=False).astype("<f8"),
+        pc.list_value_length(lens).to_numpy(zero_copy_only=False).astype("<i4"), lens.flatten().to_numpy(zero_copy_only=False).astype("<i4"),
+        idx.astype("<u2" if len(terms) <= 1 << 16 else "<u4"), terms.astype("<i8"), np.bincount(idx, minlength=len(terms)).astype("<i8"),
+    ]
+    names = [c.split()[0] for c in BLOCKS.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([graded]), *[pa.array([p.tobytes()], pa.binary()) for p in parts]], names=names)
 
 
-def _spread(score, weight, knots, free: float):
-    """Per partition: sums of ``mass * level`` and of ``mass`` for each feature."""
+def _blocks(most: int):
+    """Blocks of graded and of other documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        num, den = np.zeros(FEATURES), np.zeros(FEATURES)
+        number = TaskContext.get().partitionId() << 32
         for b in batches:
-            if not b.num_rows:
-                continue
-            idx, edge, doc = _graph(b, weight.value)
-            if score is None:
-                level, mass = b.column("grade").to_numpy(zero_copy_only=False).astype(float), 1.0
-            else:
-                level, mass = np.interp(np.bincount(doc, edge * score.value[idx], minlength=b.num_rows), *knots), free
-            num += np.bincount(idx, edge * level[doc], minlength=FEATURES) * mass
-            den += np.bincount(idx, edge, minlength=FEATURES) * mass
-        at = np.flatnonzero(den)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype("int32")), pa.array(num[at]), pa.array(den[at])], names=["feature", "num", "den"])
+            has_grade = b.column("grade").is_valid()
+            for graded in (True, False):
+                rows = b.filter(has_grade if graded else pc.invert(has_grade))
+                ends = np.cumsum(pc.list_value_length(rows.column("feats")).to_numpy(zero_copy_only=False).astype("int64"))
+                at = 0
+                while at < rows.num_rows:
+                    to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+                    yield _block(number, graded, rows.slice(at, to - at))
+                    number, at = number + 1, to
 
     return run
 
 
-def _read(score, weight, knots):
-    """``doc_id, grade, raw, level`` of each document."""
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``block, graded, pos, feature, n``: the features of each block with how often they occur in it."""
+    for b in batches:
+        for r in b.to_pylist():
+            terms = np.frombuffer(r["terms"], "<i8")
+            n = len(terms)
+            arrays = [np.full(n, r["block"]), np.full(n, r["graded"]), np.arange(n, dtype="int32"), terms, np.frombuffer(r["counts"], "<i8")]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["block", "graded", "pos", "feature", "n"])
+
+
+class _Graph:
+    """Edges of one block. The weights of a document add up to 1: every sentence has the same share,
+    divided among its features by their weight. ``at`` is where the features of ``values`` stand."""
+
+    def __init__(self, block: pa.Table, values: pa.Table):
+        r = block.to_pylist()[0]
+        self.ids, self.grades, self.sents = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["grades"], "<f8"), np.frombuffer(r["sents"], "<i4")
+        lens, self.at, self.n = np.frombuffer(r["lens"], "<i4"), values["pos"].to_numpy(), len(self.sents)
+        self.idx = np.frombuffer(r["feats"], "<u2" if values.num_rows <= 1 << 16 else "<u4")
+        doc = np.repeat(np.arange(self.n), self.sents)
+        w = self.placed(values["weight"])[self.idx]
+        share = 1.0 / (np.add.reduceat(w, np.r_[0, np.cumsum(lens)[:-1]]) * self.sents[doc]) if len(lens) else np.zeros(0)
+        self.edge, self.doc = w * np.repeat(share, lens), np.repeat(doc, lens)
+
+    def placed(self, column: pa.ChunkedArray) -> np.ndarray:
+        out = np.empty(len(self.at))
+        out[self.at] = column.to_numpy()
+        return out
+
+    def raw(self, score: pa.ChunkedArray) -> np.ndarray:
+        """Level of each document before it is mapped back, NaN without a sentence."""
+        return np.where(self.sents > 0, np.bincount(self.doc, self.edge * self.placed(score)[self.idx], minlength=self.n), np.nan)
+
+
+def _spread(knots, free: float):
+    """Per block: sums of ``mass * level`` and of ``mass`` for each feature. Without ``knots`` the level
+    is the grade."""
+
+    def run(block: pa.Table, values: pa.Table) -> pa.Table:
+        g = _Graph(block, values)
+        level = g.grades if knots is None else np.interp(g.raw(values["score"]), *knots)
+        num, den = (np.bincount(g.idx, x, minlength=len(g.at))[g.at] * free for x in (g.edge * level[g.doc], g.edge))
+        return pa.table({"feature": values["feature"], "num": num, "den": den})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            idx, edge, doc = _graph(b, weight.value)
-            raw = np.bincount(doc, edge * score.value[idx], minlength=b.num_rows)
-            level = np.interp(raw, *knots) if knots else raw
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("grade"), pa.array(raw), pa.array(level)], names=["doc_id", "grade", "raw", "level"])
+    return run
+
+
+def _read(knots):
+    """``doc_id, grade, raw, level`` of each document; no level without a sentence."""
+
+    def run(block: pa.Table, values: pa.Table) -> pa.Table:
+        g = _Graph(block, values)
+        raw = g.raw(values["score"])
+        level = np.interp(raw, *knots) if knots else raw
+        return pa.table({"doc_id": g.ids, "grade": pa.array(g.grades, from_pandas=True), "raw": pa.array(raw, from_pandas=True), "level": pa.array(level, from_pandas=True)})
 
     return run
 
 
-def _vector_sums(docs: DataFrame, step) -> tuple[np.ndarray, np.ndarray]:
-    num, den = np.zeros(FEATURES), np.zeros(FEATURES)
-    sums = docs.mapInArrow(step, "feature int, num double, den double").groupBy("feature").agg(F.sum("num"), F.sum("den"))
-    for f, a, b in sums.collect():  # at most FEATURES rows
-        num[f], den[f] = a, b
-    return num, den
+def _bucketed(rows: DataFrame, name: str, key: str) -> DataFrame:
+    """As ``materialize``, placed by ``key``: joins by it do not move the table again."""
+    spark = rows.sparkSession
+    n, table = shuffle_partitions(spark), f"zonewright_{name}_{uuid.uuid4().hex}"
+    rows.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", scratch_path(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
+def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for ids in b.column("ids").to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(ids, "<i8"))], names=["doc_id"])
+
+
+class _Corpus:
+    """Blocks, the features in them, and passes over both."""
+
+    def __init__(self, rows: DataFrame):
+        packed = materialize(rows.mapInArrow(_blocks(BLOCK), BLOCKS), "packed")
+        self.blocks = _bucketed(packed.drop("terms", "counts"), "blocks", "block")
+        self.terms = _bucketed(packed.mapInArrow(_terms, "block bigint, graded boolean, pos int, feature bigint, n bigint"), "terms", "feature")
+
+    def each(self, graded: bool | None, state: DataFrame, step, schema: str) -> DataFrame:
+        """``step`` on each block (graded, not graded, all) beside the weights and scores of its features."""
+        kind = F.lit(True) if graded is None else F.col("graded") == graded
+        values = self.terms.where(kind).join(state.select("feature", "weight", "score"), "feature").select("block", "pos", "feature", "weight", "score")
+        return self.blocks.where(kind).groupBy("block").cogroup(values.groupBy("block")).applyInArrow(step, schema)
+
+    def sums(self, graded: bool, state: DataFrame, step) -> DataFrame:
+        return self.each(graded, state, step, "feature bigint, num double, den double").groupBy("feature").agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
+
+    def levels(self, graded: bool | None, state: DataFrame, knots) -> DataFrame:
+        return self.each(graded, state, _read(knots), "doc_id bigint, grade double, raw double, level double")
 
 
-def _knots(graded: DataFrame, score, weight) -> tuple[list[float], list[float]]:
+def _knots(rows: DataFrame) -> tuple[list[float], list[float]]:
     """Mean raw level of each grade, rising; the map from raw levels to grades."""
-    rows = graded.mapInArrow(_read(score, weight, None), "doc_id bigint, grade double, raw double, level double")
-    means = dict(rows.groupBy(F.round("grade").cast("int").alias("g")).agg(F.avg("raw")).collect())
+    means = dict(rows.where("raw is not null").groupBy(F.round("grade").cast("int").alias("g")).agg(F.avg("raw")).collect())
     xs, ys = [], []
     for g in sorted(means):
         if not xs or means[g] > xs[-1] + 1e-9:
@@ -176,15 +224,14 @@ def _knots(graded: DataFrame, score, weight) -> tuple[list[float], list[float]]:
     return xs, ys
 
 
-def _boundaries(graded: DataFrame, score, weight) -> tuple[list[float], list[float]]:
+def _boundaries(rows: DataFrame) -> tuple[list[float], list[float]]:
     """The map from raw levels to grades by which bands are told: between two neighbouring grades, the
     raw level that parts the graded documents with the fewest errors (the middle of the widest such
     range). Raw levels are counted in ``BINS`` ranges by grade, so the driver gets a table of fixed size."""
-    rows = graded.mapInArrow(_read(score, weight, None), "doc_id bigint, grade double, raw double, level double")
     low, width = float(GRADES[0]), (GRADES[-1] - GRADES[0]) / BINS
     at = F.least(F.greatest(F.floor((F.col("raw") - low) / width), F.lit(0)), F.lit(BINS - 1)).cast("int")
     counts = np.zeros((GRADES[-1] + 1, BINS))
-    for g, b, n in rows.groupBy(F.floor(F.col("grade") + 0.5).cast("int").alias("g"), at.alias("b")).count().collect():
+    for g, b, n in rows.where("raw is not null").groupBy(F.floor(F.col("grade") + 0.5).cast("int").alias("g"), at.alias("b")).count().collect():
         counts[g, b] = n
     middle = low + (np.arange(BINS) + 0.5) * width
     found = [(float(middle @ counts[g] / counts[g].sum()), float(g)) for g in (GRADES[0], GRADES[-1]) if counts[g].any()]
@@ -212,36 +259,30 @@ def reading_levels(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", t
     only its English sentences count; without it all texts are English. Documents without running English
     (null, empty, lists only, other languages) get null. Without any graded document with text all levels are null.
     """
-    sc = docs.sparkSession.sparkContext
     ship_package(docs.sparkSession)
     told = grades.where(F.col("grade").between(GRADES[0], GRADES[-1])).groupBy("doc_id").agg(F.avg("grade").cast("double").alias("grade"))
     read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), running_sentences(F.col(text)).alias("s"), (F.lit(True) if english is None else F.coalesce(english, F.lit(False))).alias("told"))
     sentences = read.select("doc_id", F.transform(F.when(F.col("told"), F.col("s")).otherwise(english_sentences(F.col("s"))), _features).alias("s"))
     rows = sentences.join(told, "doc_id", "left").select(
-        "doc_id", "grade", F.coalesce(F.transform("s", lambda f: F.size(f)), F.array().cast("array<int>")).alias("lens"), F.coalesce(F.flatten("s"), F.array().cast("array<int>")).alias("feats")
+        "doc_id", "grade", F.coalesce(F.transform("s", lambda f: F.size(f)), F.array().cast("array<int>")).alias("lens"), F.coalesce(F.flatten("s"), F.array().cast("array<bigint>")).alias("feats")
     )
-    table = materialize(rows.mapInArrow(_pack, "doc_id bigint, grade double, feats binary, lens binary"), "reading")
-    full = table.where(F.length("lens") > 0)
-    empty = table.where(F.length("lens") == 0).select("doc_id", F.lit(None).cast("double").alias("level"), F.lit(None).cast("int").alias("band"))
-    counts, _ = _vector_sums(full, _count)
-    weight = sc.broadcast(1.0 / np.sqrt(counts + 1.0))
-    graded, free = full.where("grade is not null"), full.where("grade is null")
-    num0, den0 = _vector_sums(graded, _spread(None, weight, None, 1.0))
-    if not den0.any():
-        return full.select("doc_id", F.lit(None).cast("double").alias("level"), F.lit(None).cast("int").alias("band")).unionByName(empty)
-    middle = num0.sum() / den0.sum()
-    score = np.where(den0 > 0, num0 / np.maximum(den0, 1e-12), middle)
+    corpus = _Corpus(rows)
+    counts = corpus.terms.groupBy("feature").agg((1 / F.sqrt(F.sum("n") + 1)).alias("weight"))
+    state = materialize(counts.select("feature", "weight", F.lit(0.0).alias("score")), "weights")
+    told = corpus.sums(True, state, _spread(None, 1.0)).withColumnsRenamed({"num": "num0", "den": "den0"})
+    told = materialize(state.join(told, "feature", "left").select("feature", "weight", F.coalesce("num0", F.lit(0.0)).alias("num0"), F.coalesce("den0", F.lit(0.0)).alias("den0")), "told")
+    num0, den0 = told.agg(F.sum("num0"), F.sum("den0")).first()
+    if not den0:
+        return corpus.blocks.mapInArrow(_ids, "doc_id bigint").select("doc_id", F.lit(None).cast("double").alias("level"), F.lit(None).cast("int").alias("band"))
+    middle = F.lit(num0 / den0)
+    state = told.withColumn("score", F.when(F.col("den0") > 0, F.col("num0") / F.col("den0")).otherwise(middle))
     for _ in range(ITERATIONS):
-        sent = sc.broadcast(score)
-        knots = _knots(graded, sent, weight)
-        num, den = _vector_sums(free, _spread(sent, weight, knots, FREE_WEIGHT))
-        num, den = num + num0, den + den0
-        new = np.where(den > 0, num / np.maximum(den, 1e-12), middle)
-        change = np.abs(new - score)[counts > 0].max()
-        score = new
-        if change < TOLERANCE:
+        knots = _knots(corpus.levels(True, state, None))
+        sums = corpus.sums(False, state, _spread(knots, FREE_WEIGHT))
+        num, den = (F.col(c + "0") + F.coalesce(c, F.lit(0.0)) for c in ("num", "den"))
+        new = state.join(sums, "feature", "left").select("feature", "weight", "num0", "den0", F.col("score").alias("old"), F.when(den > 0, num / den).otherwise(middle).alias("score"))
+        state = materialize(new, "state")
+        if state.agg(F.max(F.abs(F.col("score") - F.col("old")))).first()[0] < TOLERANCE:
             break
-    sent = sc.broadcast(score)
-    knots = _boundaries(graded, sent, weight)
-    levels = full.mapInArrow(_read(sent, weight, knots), "doc_id bigint, grade double, raw double, level double")
-    return levels.select("doc_id", "level", F.floor(F.col("level") + 0.5).cast("int").alias("band")).unionByName(empty)
+    levels = corpus.levels(None, state, _boundaries(corpus.levels(True, state, None)))
+    return levels.select("doc_id", "level", F.floor(F.col("level") + 0.5).cast("int").alias("band"))
