@@ -77,3 +77,18 @@ def test_command_line_of_lists(spark, tmp_path, capsys):
     assert json.loads((tmp_path / "r.json").read_text())["target"] == 2
     assert cli.main(["inspect-generators", "--root", str(tmp_path)]) == 0 and "[]" in capsys.readouterr().out
     assert cli.main(["aggregate-lists", "--input-dir", str(tmp_path / "missing"), "--output", "x"]) in (1,)
+
+
+def test_distributions_are_whole(spark, tmp_path):
+    listed, generated, out = tmp_path / "l.csv", tmp_path / "g.csv", tmp_path / "out"
+    tld = lambda i: chr(97 + i // 26 % 26) + chr(97 + i % 26) + "x" * (1 + i // 676)
+    listed.write_text("domain\n" + "\n".join(f"good{i}.{tld(i)}" for i in range(1100)) + "\n")
+    generated.write_text("domain,algorithm_code\n" + "\n".join(f"xq{i}z.net,a" for i in range(1100)) + "\n")
+    pipeline.build_dataset(spark, str(listed), str(generated), str(out), pipeline.DatasetOptions(sample=5, audit=5))
+    rows = spark.read.parquet(str(out / "distributions")).collect()
+    for label, n in ((None, 2200), (0, 1100), (1, 1100)):
+        for measure in ("length", "tld", "digit_ratio", "entropy"):
+            assert sum(r.n for r in rows if r.label == label and r.measure == measure) == n
+    told = json.loads((out / "stats.json").read_text())["distributions"]
+    assert told["buckets"] == len(rows) and sum(told["top"]["length"]["all"].values()) == 2200
+    assert len(told["top"]["tld"]["all"]) == pipeline.TOP_BUCKETS < sum(r.measure == "tld" and r.label is None for r in rows)

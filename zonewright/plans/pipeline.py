@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing, registry
@@ -15,6 +15,8 @@ from ..session import materialize, spread
 from ..sinks import files
 from ..sources import lists
 
+#: Buckets of each measure and label in ``stats.json``; the table ``distributions`` has all.
+TOP_BUCKETS = 1000
 #: Added to the seed for draws that refill a shortfall.
 REFILL_SEED = 10_000_019
 
@@ -92,8 +94,8 @@ class DatasetOptions:
 
 def build_dataset(spark: SparkSession, listed: str, generated: str, out: str, opt: DatasetOptions, reg: registry.Registry = registry.DEFAULT) -> dict:
     """Read both CSV inputs, balance, compute the features, and write the data set below ``out``:
-    ``data`` (one directory a split), ``integrity``, ``sample_arff``, ``audit``, and the documents
-    ``manifest.json``, ``schema.json`` and ``stats.json``. Returns the manifest.
+    ``data`` (one directory a split), ``integrity``, ``sample_arff``, ``audit``, ``distributions`` (all buckets of
+    each measure, by label and in all), and the documents ``manifest.json``, ``schema.json`` and ``stats.json``. Returns the manifest.
 
     Statistics of a run that fails are written with ``status: failed`` before the error goes on.
     """
@@ -126,9 +128,14 @@ def build_dataset(spark: SparkSession, listed: str, generated: str, out: str, op
         files.write_json(told, str(root / "manifest.json"))
         files.write_json(files.schema_description(reg), str(root / "schema.json"))
         shapes = stats.distributions(stored.select(F.col("DOMAIN").alias("d"), F.col("LABEL").alias("l")), "d", "l")
-        # a report of the commonest buckets of each measure
-        top = {f"{r.measure}/{'all' if r.label is None else r.label}/{r.bucket}": r.n for r in shapes.orderBy(F.desc("n"), "measure", "bucket").limit(1000).collect()}
-        files.write_json({"status": "ok", "counts": counts, "distributions": top}, str(root / "stats.json"))
+        shapes.orderBy("measure", "label", F.desc("n"), "bucket").write.mode(mode).parquet(str(root / "distributions"))
+        kept = spark.read.schema(shapes.schema).parquet(str(root / "distributions"))
+        place = F.row_number().over(Window.partitionBy("measure", "label").orderBy(F.desc("n"), "bucket"))
+        top: dict[str, dict] = {}
+        for r in kept.withColumn("place_", place).where(F.col("place_") <= TOP_BUCKETS).orderBy("measure", "label", "place_").collect():
+            top.setdefault(r.measure, {}).setdefault("all" if r.label is None else str(r.label), {})[r.bucket] = r.n
+        told_shapes = {"table": "distributions", "buckets": kept.count(), "top_buckets_of_each_measure_and_label": TOP_BUCKETS, "top": top}
+        files.write_json({"status": "ok", "counts": counts, "distributions": told_shapes}, str(root / "stats.json"))
         return told
     except Exception as e:
         files.write_json({"status": "failed", "reason": str(e)[:500]}, str(root / "stats.json"))
