@@ -81,3 +81,15 @@ def test_ordered_run(spark, tmp_path):
     run.run()
     codes = [r.algorithm_code for r in run.names().orderBy("epoch", "seq").collect()]
     assert codes == sorted(codes, key=["one", "two"].index)
+
+
+def test_finite_collections_are_taken_whole(spark):
+    one = spark.range(1).withColumnRenamed("id", "slot")
+    assert g.emit(one, lambda slot: [f"n{i}.com" for i in range(10_000)], ["slot"]).where("error IS NULL").count() == 10_000
+    told = g.emit(one, lambda slot: (f"n{i}.com" for i in range(10_000)), ["slot"]).collect()
+    assert len(told) == g.MOST_OF_A_CALL and [r.error for r in told if r.error] == ["CutOff: more than 4096 names"]
+    assert all(r.error is None for r in g.emit(one, lambda slot: iter(["a.com"] * g.MOST_OF_A_CALL), ["slot"]).collect())
+    both = g.emit(one, lambda slot: print("p.com") or [b"x", 7, "q.com"], ["slot"]).collect()
+    assert [r.raw for r in both] == ["b'x'", "7", "q.com", "p.com"]
+    g.table_function(spark, "emit_many", lambda slot: tuple(f"n{i}.com" for i in range(10_000)))
+    assert spark.sql("SELECT raw FROM range(1), LATERAL emit_many(id)").count() == 10_000

@@ -28,7 +28,7 @@ from ..session import drop_path, ship_package, shuffle_partitions
 # Names by which an entry file and its function are recognised, in this order.
 ENTRY_FILES = ("dga.py", "main.py", "generator.py", "dgav2.py", "dgav3.py", "dga_a.py", "dga_b.py")
 ENTRY_FUNCTIONS = ("dga", "generate_domains", "get_domains", "create_domain", "next_domain")
-#: Names taken from one call of a generator that does not end.
+#: Names taken from one call of an iterator, which may not end.
 MOST_OF_A_CALL = 4096
 EMITTED = "slot bigint, raw string, error string"
 
@@ -99,23 +99,37 @@ def common_suffixes_of_examples(spark: SparkSession, paths: list[str], k: int =
     return [r.t for r in tld.groupBy("t").count().orderBy(F.desc("count"), "t").limit(k).collect()]
 
 
+class CutOff(Exception):
+    """A call went on after ``MOST_OF_A_CALL`` names."""
+
+
 def _names_of(call: Callable, arguments: dict) -> Iterator[str]:
-    """Names that one call returns, yields or prints."""
-    printed = io.StringIO()
+    """Names that one call returns or yields, then those it prints. Lists, tuples and sets are taken whole;
+    of what may not end, ``MOST_OF_A_CALL`` names, then ``CutOff`` if there are more."""
+    printed, more = io.StringIO(), False
     with redirect_stdout(printed):
         result = call(**arguments)
-        if isinstance(result, str):
-            names = [result]
-        elif result is None:
-            names = None
+        if result is None:
+            names = []
+        elif isinstance(result, (list, tuple, set, frozenset)):
+            names = [str(x) for x in result]
+        elif isinstance(result, str) or not hasattr(result, "__iter__"):
+            names = [str(result)]
         else:
-            names = [x for x in islice(result, MOST_OF_A_CALL) if isinstance(x, str)]
-    yield from names if names is not None else printed.getvalue().split()
+            rest = iter(result)
+            names = [str(x) for x in islice(rest, MOST_OF_A_CALL)]
+            more = len(names) == MOST_OF_A_CALL and next(rest, rest) is not rest
+    yield from names
+    yield from printed.getvalue().split()
+    if more:
+        raise CutOff(f"more than {MOST_OF_A_CALL} names")
 
 
 def emit(slots: DataFrame, call: Callable, arguments: Sequence[str]) -> DataFrame:
     """``slot, raw, error``: ``call`` once a row with the named columns as arguments. It may return
-    a name, an iterable of names (at most ``MOST_OF_A_CALL`` are taken), or print them. A call that
+    a name, a collection or an iterator of names, print them, or both. Of an iterator at most
+    ``MOST_OF_A_CALL`` are taken; of one that has more, the last row has
+    an error too. A call that
     raises gives one row with the error and ends no other."""
     ship_package(slots.sparkSession)
     names = list(arguments)
@@ -125,7 +139,10 @@ def emit(slots: DataFrame, call: Callable, arguments: Sequence[str]) -> DataFram
             out = []
             for row in b.to_dict("records"):
                 try:
-                    out += [(row["slot"], n, None) for n in _names_of(call, {a: row[a] for a in names})]
+                    for n in _names_of(call, {a: row[a] for a in names}):
+                        out.append((row["slot"], n, None))
+                except CutOff as e:
+                    out[-1] = (*out[-1][:2], f"CutOff: {e}")
                 except Exception as e:  # noqa: BLE001  user code
                     out.append((row["slot"], None, f"{type(e).__name__}: {e}"[:200]))
             yield pd.DataFrame(out, columns=["slot", "raw", "error"]).astype({"slot": "int64"})
@@ -157,15 +174,19 @@ def emit_commands(slots: DataFrame, command: Sequence[str], arguments: Sequence[
 
 
 def table_function(spark: SparkSession, name: str, call: Callable) -> None:
-    """Register ``call(slot)`` for SQL: ``SELECT ... FROM slots, LATERAL name(slot)``."""
+    """Register ``call(slot)`` for SQL: ``SELECT ... FROM slots, LATERAL name(slot)``. Of a call that yields
+    without end it gives ``MOST_OF_A_CALL`` names and no error; ``emit`` tells of the cut."""
     from pyspark.sql.functions import udtf
 
     ship_package(spark)
 
     class Emit:
         def eval(self, slot: int):
-            for n in _names_of(lambda s: call(s), {"s": slot}):
-                yield (n,)
+            try:
+                for n in _names_of(lambda s: call(s), {"s": slot}):
+                    yield (n,)
+            except CutOff:
+                pass  # the table has no column for it
 
     spark.udtf.register(name, udtf(Emit, returnType="raw string"))
 
