@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from zonewright.functions import hashing, names, registry
 from zonewright.operators import balance, combine, cuts, dedup, quota, sampling, space, stats, validate
+from zonewright.plans import reference
 
 COUNTS = st.lists(st.integers(0, 10**9), min_size=1, max_size=20).filter(sum)
 
@@ -106,6 +107,17 @@ def test_stride_visits_every_line(total, seed):
     assert gcd(step, total) == 1 and len({(start + i * step) % total for i in range(total)}) == total
 
 
+def test_walks_visit_each_line_of_a_file_once(spark):
+    rows = reference.queries()["stride_walk_by_file"](spark, "/root/testdata/sf0.001").collect()
+    of = {}
+    for r in rows:
+        of.setdefault(r.file_id, {})[r.line_no] = r.visit
+    for file_id, visits in of.items():
+        n = len(visits)
+        start, step = sampling.stride(n, sampling.seed_of(42, str(file_id)))
+        assert all(visits[(start + i * step) % n + 1] == i for i in range(n))
+
+
 def test_stride_order(spark):
     total, start, step = 1000, 17, 333
     got = {r.id: r.o for r in spark.range(total).select("id", sampling.stride_order(F.col("id"), total, start, step).alias("o")).collect()}

@@ -75,6 +75,21 @@ def stride_order(line: Column, total: int, start: int, step: int) -> Column:
     return F.pmod(product, F.lit(max(total, 1))).cast("bigint")
 
 
+def walk_of(file_id: int, lines: int, seed: int) -> tuple[int, int, int, int]:
+    """``file_id, lines, start, inverse``: the walk through all lines of one file, for ``walk_turn``."""
+    start, step = stride(lines, seed)
+    return file_id, max(lines, 1), start, pow(step, -1, lines) if lines > 1 else 0
+
+
+WALKS = "file_id bigint, lines bigint, start bigint, inverse bigint"
+
+
+def walk_turn(line: Column) -> Column:
+    """When line ``line`` (from 0) is visited by the walk of its file, whose columns stand beside it."""
+    wide = lambda c: c.cast("decimal(19,0)")
+    return F.pmod(wide(line - F.col("start")) * wide(F.col("inverse")), wide(F.col("lines"))).cast("bigint")
+
+
 def refill(pool: DataFrame, source: str, name: str, weights: DataFrame, missing: int, seed: int = 42) -> DataFrame:
     """``missing`` draws with replacement: ``slot, source, name``.
 

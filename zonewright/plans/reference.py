@@ -369,11 +369,21 @@ def first_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT file_id, line_no, (((line_no - 1 - 5) % 104729 + 104729) % 104729 * 41892) % 104729 AS visit FROM raw_lines")
 def stride_walk(spark: SparkSession, d: str) -> DataFrame:
-    """Order in which a coprime stride visits the lines (start 5, step 2.5 of 104,729)."""
+    """Order in which a coprime stride visits the lines (start 5, step 2.5 of 104,729): the arithmetic that
+    SQL can make too. ``stride_walk_by_file`` has the walk of each file's own length."""
     step = pow(41892, -1, 104729)
     return _t(spark, d, "raw_lines").select("file_id", "line_no", sampling.stride_order(F.col("line_no") - 1, 104729, 5, step).alias("visit"))
 
 
+@query()
+def stride_walk_by_file(spark: SparkSession, d: str) -> DataFrame:
+    """Order in which each file's own walk, start and step from the seed, visits each of its lines once."""
+    lines = _t(spark, d, "raw_lines").select("file_id", "line_no")
+    longest = lines.groupBy("file_id").agg(F.max("line_no").alias("n")).collect()  # one row a file
+    walks = spark.createDataFrame([sampling.walk_of(r.file_id, r.n, sampling.seed_of(42, str(r.file_id))) for r in longest], sampling.WALKS)
+    return lines.join(walks, "file_id").select("file_id", "line_no", sampling.walk_turn(F.col("line_no") - 1).alias("visit"))
+
+
 @query()
 def refilled(spark: SparkSession, d: str) -> DataFrame:
     """1,000 draws with replacement from the classes, by their size."""
