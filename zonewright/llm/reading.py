@@ -35,11 +35,15 @@ ITERATIONS = 6
 TOLERANCE = 0.01
 BINS = 2000
 GRADES = (1, 2, 3, 4, 5)
-# Abbreviations whose dot ends no sentence; marks at the ends of a word.
-ABBREVIATIONS = r"(?i)\b(?:e\.g|i\.e|etc|vs|cf)\."
+# Fixed values, in lower case: tags, entities, and abbreviations whose dot ends no sentence. The look-ahead names
+# the characters that one of them may start with.
+NOISE = r"(?=[<&eivc])(?:<[/!?a-z][^<>]*+>|&(?:[a-z][a-z0-9]*+|#[0-9]++|#x[0-9a-f]++);|\b(?:e\.g|i\.e|etc|vs|cf)\.)"
+#: Within a line, what goes on after a mark; the first group is a sentence with its mark, a rest without one has none.
+_INNER = r"""(?:[^\n.!?]++|[.!?]++(?!["')]*+(?:\s|\z)))"""
+SENTENCE = rf"""({_INNER}*+[.!?]++["')]*+(?=\s|\z))|{_INNER}++"""
 _ENDS = r"""[.,;:!?"'()*\[\]-]*+"""
-#: A word: what stands between blanks is letters, but for marks at its ends and hyphens inside.
-WORD = rf"(?:\A|\s){_ENDS}([a-z]++(?:['’-][a-z]++)*+){_ENDS}(?=\s|\z)"
+#: What stands between blanks; its first group is a word: letters, but for marks at its ends and hyphens inside.
+TOKEN = rf"(?:\A|(?<=\s))(?:{_ENDS}([a-z]++(?:['’-][a-z]++)*+){_ENDS}(?=\s|\z)|\S++)"
 
 
 # Words of grammar that tell English from its neighbours, and those of Spanish, German, French,
@@ -51,23 +55,26 @@ _OTHER = """el la los las del de en que y un una es por con para su sus se al lo
  il di che non per sono della os um uma da em het een van""".split()
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, however often it occurs there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def english_sentences(sentences: Column) -> Column:
     """Of the sentences of a text in an unknown or another language, those in English: with more words of
     English grammar than of others, and, if that holds for the text as a whole, those with as many."""
     held = lambda words, known: F.size(F.filter(words, lambda w: w.isin(known)))
     lead = F.transform(sentences, lambda s: F.struct(s.alias("s"), (held(s, _ENGLISH) - held(s, _OTHER)).alias("n")))
-    least = F.when(F.aggregate(lead, F.lit(0), lambda a, x: a + x["n"]) > 0, 0).otherwise(1)
-    return F.transform(F.filter(lead, lambda x: x["n"] >= least), lambda x: x["s"])
+    least = lambda scored: F.when(F.aggregate(scored, F.lit(0), lambda a, x: a + x["n"]) > 0, 0).otherwise(1)
+    return _let(lead, lambda scored: _let(least(scored), lambda n: F.transform(F.filter(scored, lambda x: x["n"] >= n), lambda x: x["s"])))
 
 
 def running_sentences(text: Column) -> Column:
     """Sentences as arrays of lower-case words. Markup, entities, list and log lines, names and
     hashes are no running text: a sentence ends with a mark and consists of words by half or more."""
-    clean = F.regexp_replace(text, r"<[^<>]{1,200}>", " ")
-    clean = F.regexp_replace(clean, r"&(?:[A-Za-z]{2,8}|#[0-9]{1,6});", " ")
-    clean = F.lower(F.regexp_replace(clean, ABBREVIATIONS, " "))
-    parts = F.filter(F.split(clean, r"""\n|(?<=[.!?])["')]*+\s++"""), lambda s: s.rlike(r"""[.!?]["')]*+\s*+\z"""))
-    both = F.transform(parts, lambda s: F.struct(F.regexp_count(s, F.lit(r"\S++")).alias("n"), F.regexp_extract_all(s, F.lit(WORD), F.lit(1)).alias("words")))
+    clean = F.regexp_replace(F.lower(text), NOISE, " ")
+    tokens = F.transform(F.regexp_extract_all(clean, F.lit(SENTENCE), F.lit(1)), lambda s: F.regexp_extract_all(s, F.lit(TOKEN), F.lit(1)))
+    both = F.transform(tokens, lambda t: F.struct(F.size(t).alias("n"), F.filter(t, lambda w: w != "").alias("words")))
     kept = F.filter(both, lambda b: (F.size(b["words"]) >= 3) & (F.size(b["words"]) * 2 >= b["n"]))
     return F.transform(kept, lambda b: b["words"])
 
@@ -262,7 +269,8 @@ def reading_levels(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", t
     ship_package(docs.sparkSession)
     told = grades.where(F.col("grade").between(GRADES[0], GRADES[-1])).groupBy("doc_id").agg(F.avg("grade").cast("double").alias("grade"))
     read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), running_sentences(F.col(text)).alias("s"), (F.lit(True) if english is None else F.coalesce(english, F.lit(False))).alias("told"))
-    sentences = read.select("doc_id", F.transform(F.when(F.col("told"), F.col("s")).otherwise(english_sentences(F.col("s"))), _features).alias("s"))
+    english_only = lambda s: F.when(F.col("told"), s).otherwise(english_sentences(s))
+    sentences = read.select("doc_id", _let(F.col("s"), lambda s: F.transform(english_only(s), _features)).alias("s"))
     rows = sentences.join(told, "doc_id", "left").select(
         "doc_id", "grade", F.coalesce(F.transform("s", lambda f: F.size(f)), F.array().cast("array<int>")).alias("lens"), F.coalesce(F.flatten("s"), F.array().cast("array<bigint>")).alias("feats")
     )
