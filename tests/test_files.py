@@ -2,7 +2,7 @@ import hashlib
 import json
 
 import pytest
-from zonewright.functions.registry import DEFAULT, Feature, Registry
+from zonewright.functions.registry import DEFAULT, Feature, FeatureSet
 from zonewright.operators import rejects
 from zonewright.plans import catalogue
 from zonewright.sinks import files
@@ -85,7 +85,7 @@ def test_documents(spark, tmp_path):
     assert json.loads((tmp_path / "m.json").read_text())["counts"] == {"rows": 2}
     assert files.file_digest(str(tmp_path / "m.json")) == hashlib.sha256((tmp_path / "m.json").read_bytes()).hexdigest()
     assert files.gzip_verified(str(tmp_path / "m.json")).endswith(".gz")
-    assert len(files.schema_description(Registry((Feature("L_ENTROPY", description="x"),)))["fields"]) == 4
+    assert len(files.schema_description(FeatureSet([Feature("L_ENTROPY", description="x")]))["fields"]) == 4
     assert [f.nullable for f in files.final_schema(DEFAULT).fields] == [False] * 57
     with pytest.raises(FileExistsError):
         files.refuse_existing([str(tmp_path / "m.json")], False)

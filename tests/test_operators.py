@@ -257,7 +257,7 @@ def test_mutation_changes_letters_only(spark):
 
 
 def test_validation(spark):
-    reg = registry.Registry((registry.Feature("L_ENTROPY"),))
+    reg = registry.FeatureSet([registry.Feature("L_ENTROPY")])
     good = spark.createDataFrame([("a.com", 1.0, "com", 0), ("b.net", 1.0, "alg", 1)], "DOMAIN string, L_ENTROPY double, CLASS string, LABEL int")
     assert validate.validate(good, reg) == []
     bad = spark.createDataFrame([("a.com", 1.0, "net", 0), ("a.com", 1.0, " ", 1), ("c.com", 1.0, "x", 7), ("d.com", 1.0, "x", None)], good.schema)

@@ -7,7 +7,7 @@ powers of counts, so a variance is zero exactly if all counts are equal, on ever
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,10 +40,11 @@ def _div(a, b):
     return np.divide(a, b, out=np.zeros(a.shape), where=b != 0)
 
 
-def _tie_pairs(row, value, n):
-    """Pairs of equal values within each row."""
-    _, first, size = np.unique(np.stack([row, value]), axis=1, return_index=True, return_counts=True)
-    return np.bincount(row[first], size * (size - 1) / 2, minlength=n)
+def _same_counts(row, count, n):
+    """For each row, pairs of equal counts: row and count are coded as one whole number."""
+    base = int(count.max(initial=0)) + 1
+    code, size = np.unique(row * base + count, return_counts=True)
+    return np.bincount(code // base, size * (size - 1) / 2, minlength=n)
 
 
 def _ranks(row, value):
@@ -69,9 +70,10 @@ def _standard(s1, s2, s3, s4, n):
     return m2, _div(m3, m2**1.5), np.where(m2 > 0, _div(m4, m2**2) - 3, 0.0)
 
 
-def ngram_statistics(letters: list[str], n: int) -> dict[str, np.ndarray]:
-    """All statistics of ``n``-grams for a list of strings over a-z."""
-    size = len(letters)
+def ngram_statistics(letters: list[str], n: int, wanted: Collection[str] = STATISTICS) -> dict[str, np.ndarray]:
+    """Statistics of ``n``-grams for a list of strings over a-z: at least those wanted. What costs a sort or
+    a pass over pairs is left out unless it is asked for."""
+    size, asked = len(letters), set(wanted)
     out: dict[str, np.ndarray] = {}
     sums = lambda row, w: np.bincount(row, w, minlength=size)
     length = np.fromiter(map(len, letters), np.int64, size)
@@ -92,9 +94,11 @@ def ngram_statistics(letters: list[str], n: int) -> dict[str, np.ndarray]:
     m3 = (k * k * s3 - 3 * k * s1 * s2 + 2 * s1**3).astype(float)
     m4 = (k**3 * s4 - 4 * k * k * s1 * s3 + 6 * k * s1 * s1 * s2 - 3 * s1**4).astype(float)
     out["DIST"], out["REP"] = k.astype(float), sums(row, (count > 1).astype(float))
-    order = np.lexsort((count, row))
-    ordered, start = count[order].astype(float), np.r_[0, np.cumsum(k)[:-1]]
-    for name, q in (("25P", 0.25), ("50P", 0.5), ("75P", 0.75)):
+    quartiles = [(name, q) for name, q in (("25P", 0.25), ("50P", 0.5), ("75P", 0.75)) if name in asked]
+    if quartiles:
+        widest = int(count.max(initial=0)) + 1
+        ordered, start = (np.sort(row * widest + count) % widest).astype(float), np.r_[0, np.cumsum(k)[:-1]]
+    for name, q in quartiles:
         at = q * np.maximum(k - 1, 0)
         lo, hi = np.floor(at).astype(int), np.ceil(at).astype(int)
         v = np.zeros(size)
@@ -108,8 +112,9 @@ def ngram_statistics(letters: list[str], n: int) -> dict[str, np.ndarray]:
     out["STD"], out["PSTD"] = np.sqrt(out["VAR"]), np.sqrt(out["PVAR"])
     out["SKE"] = _div(m3, m2**1.5)
     out["KUR"] = np.where(m2 > 0, _div(m4, m2**2) - 3, 0.0)
-    p_obs = count / total[row]
-    out["E"] = -sums(row, p_obs * np.log2(p_obs))
+    if "E" in asked:
+        p_obs = count / total[row]
+        out["E"] = -sums(row, p_obs * np.log2(p_obs))
     out["NORM"] = np.where(k > 1, k / 6 * out["SKE"] ** 2 + k / 24 * out["KUR"] ** 2, 0.0)
 
     # union with the reference, in the order of the grams
@@ -117,35 +122,44 @@ def ngram_statistics(letters: list[str], n: int) -> dict[str, np.ndarray]:
     refs = len(names)
     weight = np.array([float(REFERENCE[n][g]) for g in names])
     ref_code = np.array([sum((ord(ch) - 97) * 26 ** (n - 1 - j) for j, ch in enumerate(g)) for g in names])
+    # both lists are sorted and without repeats, so one merge tells where each stands in the union
     ref_keys = (np.arange(size)[:, None] * base + ref_code).ravel()
-    union, inverse = np.unique(np.r_[keys, ref_keys], return_inverse=True)
+    at = np.searchsorted(keys, ref_keys)
+    held = at < len(keys)
+    held[held] = keys[at[held]] == ref_keys[held]
+    union = np.sort(np.r_[keys, ref_keys[~held]])
+    mine, theirs = np.searchsorted(union, keys), np.searchsorted(union, ref_keys)
     c, w = np.zeros(len(union)), np.zeros(len(union))
-    c[inverse[: len(keys)]] = count
-    w[inverse[len(keys) :]] = np.tile(weight, size)
+    c[mine], w[theirs] = count, np.tile(weight, size)
     u = union // base
     m = np.bincount(u, minlength=size)
     p, q = _div(c, total[u]), w / weight.sum()
     seen = c > 0
-    out["PRO"] = sums(u[seen], p[seen] * np.log(q[seen] + EPS))
-    pd_, qd = p - _div(sums(u, p), m)[u], q - _div(sums(u, q), m)[u]
-    cov, pv, qv = sums(u, pd_ * qd), sums(u, pd_ * pd_), sums(u, qd * qd)
+    if "PRO" in asked:
+        out["PRO"] = sums(u[seen], p[seen] * np.log(q[seen] + EPS))
     flat = (m * s2 == s1 * s1)  # all counts over the union are equal
-    pv = np.where(flat, 0.0, pv)
-    out["COV"], out["PEA"] = cov / m, _div(cov, np.sqrt(pv * qv))
-    rc, rw = _ranks(u, c), _ranks(u, w)
-    rc, rw = rc - (sums(u, rc) / m)[u], rw - (sums(u, rw) / m)[u]
-    out["SPE"] = _div(sums(u, rc * rw), np.sqrt(np.where(flat, 0.0, sums(u, rc * rc)) * sums(u, rw * rw)))
-    # pairs of which one gram is a reference gram; the others are tied in the reference
-    at_ref = c[inverse[len(keys) :]].reshape(size, refs)
-    agree = np.zeros(size)
-    for i in range(refs):
-        for j in range(i + 1, refs):
-            if weight[i] != weight[j]:
-                agree += np.sign(at_ref[:, i] - at_ref[:, j]) * np.sign(weight[i] - weight[j])
-    other = w == 0
-    agree += sums(u[other], np.sign(at_ref[u[other]] - c[other][:, None]).sum(axis=1))
-    pairs = m * (m - 1) / 2
-    out["KEN"] = _div(agree, np.sqrt((pairs - _tie_pairs(u, c, size)) * (pairs - _tie_pairs(u, w, size))))
+    if asked & {"COV", "PEA"}:
+        pd_, qd = p - _div(sums(u, p), m)[u], q - _div(sums(u, q), m)[u]
+        cov, pv, qv = sums(u, pd_ * qd), np.where(flat, 0.0, sums(u, pd_ * pd_)), sums(u, qd * qd)
+        out["COV"], out["PEA"] = cov / m, _div(cov, np.sqrt(pv * qv))
+    if "SPE" in asked:
+        rc, rw = _ranks(u, c), _ranks(u, w)
+        rc, rw = rc - (sums(u, rc) / m)[u], rw - (sums(u, rw) / m)[u]
+        out["SPE"] = _div(sums(u, rc * rw), np.sqrt(np.where(flat, 0.0, sums(u, rc * rc)) * sums(u, rw * rw)))
+    if "KEN" in asked:
+        # pairs of which one gram is a reference gram; the others are tied in the reference
+        falling = np.argsort(-weight, kind="stable")
+        at_ref, ranked = c[theirs].reshape(size, refs)[:, falling], weight[falling]
+        agree = np.zeros(size)
+        for i in range(refs):
+            lower = ranked < ranked[i]
+            if lower.any():
+                agree += np.sign(at_ref[:, i : i + 1] - at_ref[:, lower]).sum(axis=1)
+        other = w == 0
+        agree += sums(u[other], np.sign(at_ref[u[other]] - c[other][:, None]).sum(axis=1))
+        pairs, alike = m * (m - 1) / 2, np.unique(weight, return_counts=True)[1]
+        same_weight = (m - refs) * (m - refs - 1) / 2 + (alike * (alike - 1) / 2).sum()
+        out["KEN"] = _div(agree, np.sqrt((pairs - _same_counts(u, c.astype(np.int64), size)) * (pairs - same_weight)))
     t1, t2, t3, t4 = (float(((weight / weight.sum()) ** e).sum()) for e in (1, 2, 3, 4))
     out["TSUM"], out["TSUMSQ"] = np.full(size, t1), np.full(size, t2)
     out["TPVAR"], out["TSKE"], out["TKUR"] = _standard(t1, t2, t3, t4, m)
@@ -157,9 +171,10 @@ def ngram_statistics(letters: list[str], n: int) -> dict[str, np.ndarray]:
     first = np.r_[0, np.cumsum(m)[:-1]]
     out["DST_CH"] = np.maximum.reduceat(np.abs(diff), first)
     out["DST_EU"], out["DST_MA"] = np.sqrt(sums(u, diff * diff)), sums(u, np.abs(diff))
-    run = np.cumsum(diff)
-    run -= (run[first] - diff[first])[u]
-    out["DST_EM"] = sums(u, np.abs(run))
+    if "DST_EM" in asked:
+        run = np.cumsum(diff)
+        run -= (run[first] - diff[first])[u]
+        out["DST_EM"] = sums(u, np.abs(run))
     out["DST_JI"] = sums(u, (seen & (w > 0)).astype(float)) / m
     return out
 
@@ -173,7 +188,7 @@ def compute(letters: pd.Series, names: list[str]) -> pd.DataFrame:
         cols: dict[str, np.ndarray] = {}
         for n, mine in wanted.items():
             if mine:
-                stats = ngram_statistics(texts, n)
+                stats = ngram_statistics(texts, n, [x.split("_", 1)[1] for x in mine])
                 cols |= {x: stats[x.split("_", 1)[1]] for x in mine}
         frames.append(pd.DataFrame(cols, columns=names))
     return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=names, dtype=float)

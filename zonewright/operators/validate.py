@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import suffix
-from ..functions.registry import Registry
+from ..functions.registry import FeatureSet
 
 #: Offending rows that an error names.
 EXAMPLES = 5
 
 
-def schema_errors(columns: list[str], registry: Registry) -> list[str]:
+def schema_errors(columns: list[str], registry: FeatureSet) -> list[str]:
     """Column order must be DOMAIN, the features, CLASS, LABEL, in this spelling."""
     want = ["DOMAIN", *registry.names, "CLASS", "LABEL"]
     if columns == want:
@@ -36,7 +36,7 @@ def rollup(data: DataFrame) -> DataFrame:
     return one.withColumn("k", F.lit(1)).join(twice.withColumn("k", F.lit(1)), "k").drop("k").withColumn("balanced", F.col("listed") == F.col("generated"))
 
 
-def validate(data: DataFrame, registry: Registry, manifest: dict | None = None) -> list[str]:
+def validate(data: DataFrame, registry: FeatureSet, manifest: dict | None = None) -> list[str]:
     """All errors of a data set, an empty list if it is sound."""
     errors = schema_errors(data.columns, registry)
     if manifest:

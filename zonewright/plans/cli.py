@@ -75,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
             pipeline.build_dataset(spark, args.listed, args.generated, args.output, opt)
             return 0
         manifest = json.loads((Path(args.input) / "manifest.json").read_text())
-        reg = registry.Registry(tuple(registry.Feature(n) for n in manifest["columns"][1:-2]))
+        reg = registry.FeatureSet(map(registry.Feature, manifest["columns"][1:-2]))
         stored = spark.read.parquet(str(Path(args.input) / "data"))
         errors = validate.validate(stored.select(*[c for c in stored.columns if c != "split"]), reg, manifest)
         print("\n".join(errors) or "valid")

@@ -92,7 +92,7 @@ class DatasetOptions:
     splits: bool = True
 
 
-def build_dataset(spark: SparkSession, listed: str, generated: str, out: str, opt: DatasetOptions, reg: registry.Registry = registry.DEFAULT) -> dict:
+def build_dataset(spark: SparkSession, listed: str, generated: str, out: str, opt: DatasetOptions, reg: registry.FeatureSet = registry.DEFAULT) -> dict:
     """Read both CSV inputs, balance, compute the features, and write the data set below ``out``:
     ``data`` (one directory a split), ``integrity``, ``sample_arff``, ``audit``, ``distributions`` (all buckets of
     each measure, by label and in all), and the documents ``manifest.json``, ``schema.json`` and ``stats.json``. Returns the manifest.

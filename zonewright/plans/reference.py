@@ -410,13 +410,13 @@ def features54(spark: SparkSession, d: str) -> DataFrame:
 def features145(spark: SparkSession, d: str) -> DataFrame:
     """The whole feature catalogue for every stored name."""
     rows = spread(_t(spark, d, "domains").select("record_id", nm.final_name("domain").alias("domain")))
-    return registry.with_features(rows, "domain", registry.catalogue_registry())
+    return registry.with_features(rows, "domain", registry.catalogue())
 
 
 @query("SELECT sample_id, (length(regexp_replace(domain, '[^a]', '', 'g')) ** 2)::DOUBLE AS \"A_SQUARED\" FROM sample_records")
 def custom_feature(spark: SparkSession, d: str) -> DataFrame:
     """A registered feature of one's own."""
-    mine = registry.Registry((registry.Feature("A_SQUARED", lambda p: F.pow(F.length(F.regexp_replace(p["fqdn"], "[^a]", "")), F.lit(2.0))),))
+    mine = registry.FeatureSet([registry.Feature("A_SQUARED", lambda p: F.pow(F.length(F.regexp_replace(p["fqdn"], "[^a]", "")), F.lit(2.0)), "Square of the number of a.")])
     return registry.with_features(_t(spark, d, "sample_records").select("sample_id", "domain"), "domain", mine).drop("domain")
 
 

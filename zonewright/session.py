@@ -8,10 +8,14 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import storage
+
 _LOCAL_DIRS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
@@ -35,36 +39,114 @@ def local_session(cores: str = "8", partitions: int = 8, **extra: str) -> SparkS
     return spark
 
 
+def cluster_session() -> SparkSession:
+    """The session of the program's launcher: its master is what ``spark-submit`` or the defaults say. Names
+    and dates are compared in UTC."""
+    return SparkSession.builder.appName("zonewright").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session's ``spark.checkpoint.dir`` names it.
+    """The folder that all executors share: what the session's ``spark.checkpoint.dir`` names, or else the
+    checkpoint folder that its context was given.
 
-    Where that is unset, a local master gets a temporary folder of its own; any other master is
+    Where neither is set, a local master gets a temporary folder of its own; any other master is
     refused, since a folder of one machine would not be seen by the rest.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
+    configured = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(app) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="zonewright-")
-        atexit.register(shutil.rmtree, folder, True)
-        spark.sparkContext.setCheckpointDir(f"file://{folder}")
-        _LOCAL_DIRS[app] = f"file://{folder}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
+    folder = tempfile.mkdtemp(prefix="zonewright-")
+    atexit.register(shutil.rmtree, folder, True)
+    spark.sparkContext.setCheckpointDir(f"file://{folder}")
+    _LOCAL_DIRS[app] = f"file://{folder}"
     return _LOCAL_DIRS[app]
 
 
+class Scope:
+    """What is written to the shared folder within a scope goes when it ends. Scopes nest; what belongs to
+    none, results that were kept among it, goes when the program ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.tables = spark, [], []
+
+    def __enter__(self) -> Scope:
+        _SCOPES.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _SCOPES.remove(self)
+        self.clear()
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df``, if need be written outside this scope, so that it can be read after its end."""
+        if not self.paths:
+            return df
+        _SCOPES.remove(self)
+        try:
+            return materialize(df, "result")
+        finally:
+            _SCOPES.append(self)
+
+    def clear(self) -> None:
+        for t in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+        for p in self.paths:
+            storage.delete(self.spark, p)
+        self.paths, self.tables = [], []
+
+
+_SCOPES: list[Scope] = []
+_LAST: dict[str, Scope] = {}
+
+
+def _scope(spark: SparkSession, last: bool = False) -> Scope:
+    """The innermost scope, or the one that ends with the program."""
+    if _SCOPES and not last:
+        return _SCOPES[-1]
+    app = spark.sparkContext.applicationId
+    if app not in _LAST:
+        _LAST[app] = Scope(spark)
+    return _LAST[app]
+
+
+@atexit.register
+def _sweep() -> None:
+    for scope in _LAST.values():
+        if scope.spark.sparkContext._jsc is not None:  # a stopped context leaves its folder to whoever stopped it
+            scope.clear()
+
+
+def tidy(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query ``(spark, ...)`` that leaves nothing in the shared folder but its result."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        with Scope(spark) as scope:
+            return scope.keep(query(spark, *args))
+
+    return run
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/zonewright/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, which goes with the scope that it is made in."""
+    path = f"{shared_dir(spark)}/zonewright/{name}-{uuid.uuid4().hex}"
+    _scope(spark).paths.append(path)
+    return path
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A new name for a table of the catalogue, which goes with the scope that it is made in."""
+    table = f"zonewright_{name}_{uuid.uuid4().hex}"
+    _scope(spark).tables.append(table)
+    return table
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a path of any file system that Hadoop knows; a missing path is no error."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    storage.delete(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -76,6 +158,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sorted_scans(spark: SparkSession) -> None:
+    """Let scans of bucketed tables say in which order their files lie, so that merge joins take sorted runs
+    as they are. Spark claims an order only where each bucket is one file, as the writers here leave it."""
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A table that was read in fewer partitions than there are cores, over all cores; larger ones stay
     as they are. For stages with much work a row on small inputs."""
@@ -98,10 +186,8 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(packed, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
-    target = f"{scratch_path(spark, 'package')}.zip"
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)
-    out.write(packed.getvalue())
-    out.close()
+    target = f"{shared_dir(spark)}/zonewright/package-{uuid.uuid4().hex}.zip"
+    storage.write_bytes(spark, target, packed.getvalue())
     spark.sparkContext.addPyFile(target)
+    _scope(spark, last=True).paths.append(target)  # executors that join later fetch it too
     _SHIPPED.add(app)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import row_digest
-from ..functions.registry import Registry
+from ..functions.registry import FeatureSet
 
 #: Size estimate of a stored row: its name, 8 bytes a column, and 64 more, 128 at least.
 LEAST_ROW, ROW_EXTRA = 128, 64
@@ -28,14 +28,14 @@ def refuse_existing(paths: list[str], overwrite: bool) -> None:
             p.unlink()
 
 
-def final_schema(registry: Registry) -> T.StructType:
+def final_schema(registry: FeatureSet) -> T.StructType:
     """DOMAIN, the features, CLASS, LABEL; no column may be null."""
     doubles = [T.StructField(n, T.DoubleType(), False) for n in registry.names]
     ends = [T.StructField("CLASS", T.StringType(), False), T.StructField("LABEL", T.ByteType(), False)]
     return T.StructType([T.StructField("DOMAIN", T.StringType(), False), *doubles, *ends])
 
 
-def final_rows(featured: DataFrame, registry: Registry) -> DataFrame:
+def final_rows(featured: DataFrame, registry: FeatureSet) -> DataFrame:
     """Columns in their final order, spelling and type."""
     return featured.select(F.col("domain").alias("DOMAIN"), *[F.col(n) for n in registry.names], F.col("class_value").alias("CLASS"), F.col("label").cast("tinyint").alias("LABEL"))
 
@@ -149,14 +149,14 @@ def integrity_rows(data: DataFrame, split: Column) -> DataFrame:
     return data.select(F.col("DOMAIN").alias("domain"), F.col("LABEL").alias("label"), split.alias("split"), row_digest(F.col("DOMAIN"), F.col("LABEL"), split).alias("sha256"))
 
 
-def schema_description(registry: Registry) -> dict:
+def schema_description(registry: FeatureSet) -> dict:
     fields = [{"name": "DOMAIN", "type": "string", "description": "Normalised name."}]
-    fields += [{"name": f.name, "type": f.dtype, "description": f.description} for f in registry.features]
+    fields += [{"name": f.name, "type": f.dtype, "description": f.told} for f in registry.values()]
     fields += [{"name": "CLASS", "type": "string", "description": "TLD or generator code."}, {"name": "LABEL", "type": "int8", "description": "1 generated, 0 listed."}]
-    return {"fields": fields, "feature_count": len(registry.features)}
+    return {"fields": fields, "feature_count": len(registry)}
 
 
-def manifest(registry: Registry, counts: dict, arguments: dict) -> dict:
+def manifest(registry: FeatureSet, counts: dict, arguments: dict) -> dict:
     return {
         "columns": ["DOMAIN", *registry.names, "CLASS", "LABEL"], "counts": counts, "arguments": arguments,
         "feature_name_order_checksum": registry.name_checksum(), "feature_definition_checksum": registry.definition_checksum(),
