@@ -28,7 +28,7 @@ def test_random_sizes_fill_well(spark):
     rng = random.Random(3)
     sizes = [rng.randint(1, 100) if rng.random() < 0.9 else rng.randint(100, 450) for _ in range(3000)]
     plan, _ = check(spark, sizes)
-    assert plan.containers <= 1.02 * sum(sizes) / 100 + 1 and plan.fixed > 0
+    assert plan.containers <= 1.02 * sum(sizes) / 100 + 1 and sum(plan.fixed_sets.values()) > 0
 
 
 def test_edges(spark):
@@ -46,6 +46,42 @@ def test_dominance_is_optimal_where_it_decides(spark):
         assert plan.containers == best, (counts, plan.runs)
 
 
+def fewest(items, capacity):
+    best = len(items)
+
+    def place(at, free):
+        nonlocal best
+        if len(free) >= best:
+            return
+        if at == len(items):
+            best = len(free)
+            return
+        for room in {f for f in free if f >= items[at]}:
+            rest = list(free)
+            rest.remove(room)
+            place(at + 1, [*rest, room - items[at]])
+        place(at + 1, [*free, capacity - items[at]])
+
+    items = sorted(items, reverse=True)
+    place(0, [])
+    return best
+
+
+def test_fixed_sets_cost_no_container():
+    rng = random.Random(1)
+    sets = Counter()
+    for _ in range(400):
+        capacity = rng.choice([10, 20, 30])
+        items = [rng.randint(1, capacity) for _ in range(rng.randint(1, 9))]
+        plan = packing._Plan(dict(Counter(items)))
+        packing.reduce_instance(plan, capacity)
+        rest = [s for s, n in plan.left.items() for _ in range(n)]
+        assert plan.containers + fewest(rest, capacity) == fewest(items, capacity), (capacity, items)
+        assert packing.fewest_containers(Counter(items), capacity) <= fewest(items, capacity)
+        sets.update(plan.fixed_sets)
+    assert all(sets[n] for n in (1, 2, 3))
+
+
 def test_plan_never_overfills():
     rng = random.Random(9)
     for _ in range(300):
@@ -66,3 +102,8 @@ def test_query(spark):
     docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()
     want = {r.doc_id for r in docs if len(enc.encode_ordinary(r.text or "")) > 2048}
     assert {r.doc_id for r in queries.p6_found(spark, d).collect()} == want
+
+
+def test_report(spark):
+    r = queries.p6_report(spark, "/root/testdata/sf0.001").first()
+    assert r.fewest_by_volume <= r.fewest_proven <= r.containers <= r.best_fit_alone

@@ -8,8 +8,8 @@ ROWS = "run long, cat string, id long, tld string"
 
 
 def draw(spark, rows, targets, **kw):
-    sample, report = raking.draw(spark.createDataFrame(rows, ROWS), spark.createDataFrame(targets, "run long, cat string, target long"), "run", "cat", "id", ["tld"], **kw)
-    return sample, {(r.run, r.cat): r for r in report.collect()}
+    out = raking.draw(spark.createDataFrame(rows, ROWS), spark.createDataFrame(targets, "run long, cat string, target long"), "run", "cat", "id", ["tld"], **kw)
+    return out.sample, {(r.run, r.cat): r for r in out.report.collect()}
 
 
 def population():
@@ -42,6 +42,24 @@ def test_second_margin_follows_the_population(spark):
     assert sum(got.values()) == 400 and abs(got["x"] / 400 - share) < 0.06
 
 
+def test_margins_that_cannot_be_met_together_are_told(spark):
+    rows = [(1, "big", i, "x" if i < 100 else "y") for i in range(19_900)] + [(1, "small", 20_000 + i, "x") for i in range(100)]
+    out = raking.draw(spark.createDataFrame(rows, ROWS), spark.createDataFrame([(1, "big", 200), (1, "small", 100)], "run long, cat string, target long"), "run", "cat", "id", ["tld"])
+    told = {(r.margin, r.value): r for r in out.margins.collect()}
+    x = told["tld", "x"]
+    assert abs(x.target - 3) < 1e-9 and x.sampled >= 100 and x.residual >= 97 and not x.settled
+    assert told["cat", "small"].settled and told["cat", "small"].residual == 0 == told["cat", "big"].residual
+    assert sum(r.sampled for r in told.values()) == 600 and {r.gap for r in out.report.collect()} == {0}
+
+
+def test_minimum_is_repaired_after_the_draw(spark):
+    rows = population()
+    sample, report = draw(spark, rows, [(0, "hot", 100), (1, "c2", 0)], minimum=3)
+    got = [r for r in sample.collect() if r.repaired]
+    assert {(r.run, r.cat) for r in got} == {k for k in report if k != (0, "hot")} and len(got) == 3 * (len(report) - 1)
+    assert {r.gap for r in report.values() if r.target is not None} == {0}
+
+
 def test_rake_fits_all_margins(spark):
     cells = spark.createDataFrame([("a", "x", 10, 30.0, 40.0), ("a", "y", 20, 30.0, 20.0), ("b", "x", 30, 30.0, 40.0), ("b", "y", 40, 30.0, 20.0)], "g string, h string, n long, tg double, th double")
     out = raking.rake(cells, [(["g"], "tg"), (["h"], "th")], rounds=6).collect()
@@ -71,7 +89,7 @@ def test_same_sample_on_any_partitioning(spark):
     ids = []
     for parts in (1, 7):
         df = spark.createDataFrame(rows, ROWS).repartition(parts)
-        ids.append(sorted(r.id for r in raking.draw(df, targets, "run", "cat", "id", ["tld"])[0].collect()))
+        ids.append(sorted(r.id for r in raking.draw(df, targets, "run", "cat", "id", ["tld"]).sample.collect()))
     assert ids[0] == ids[1]
 
 

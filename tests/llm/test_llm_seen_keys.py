@@ -39,7 +39,7 @@ def test_report_reproduces_first_reports(spark):
     d = "/root/testdata/sf0.001"
     rows = queries.p1_insert_report(spark, d).collect()
     assert rows and all(r.difference in (0, None) for r in rows)
-    assert {r.hash_only_wrong_rate for r in rows} == {0.0}
+    assert {(r.hash_only_wrong_rate, r.wrong_rate) for r in rows} == {(0.0, 0.0)} and rows[0].audited > 30
 
 
 @pytest.mark.parametrize("steps", [1, 2, 5, 9])
@@ -69,7 +69,7 @@ def test_narrow_hashes_stay_exact(spark):
     got, store = found(spark, [(1, "n5.com")], attempts, store=store)
     assert got == plain([(1, "n5.com")], attempts)
     wrong = store.hash_only_errors().first()
-    assert wrong["keys"] == 700 and wrong.hash_only_wrong > 400
+    assert wrong["keys"] == 700 and 400 < wrong["wrong"] < 700
 
 
 def test_levels_attach_and_point_look_up(spark):
@@ -87,12 +87,60 @@ def test_levels_attach_and_point_look_up(spark):
     store.drop()
 
 
-def test_probe_moves_the_batch_only(spark):
+def above_scan(plan, table):
+    """Operators between a merge join and the scan of a table on its right."""
+    lines = plan.splitlines()
+    at = next(i for i, x in enumerate(lines) if table in x and "Scan parquet" in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-*"))
+    out, d = [], depth(lines[at])
+    for x in reversed(lines[:at]):
+        if depth(x) < d:
+            d = depth(x)
+            if "SortMergeJoin" in x:
+                return out
+            out.append(x.strip(" :+-*").split(" ")[0].split("(")[0])
+    raise AssertionError(plan)
+
+
+def test_probe_neither_moves_nor_sorts_history(spark):
     store = seen_keys.SortedRunStore(spark, buckets=4)
-    store.append(store.keys(spark.range(1000).select(F.col("id").cast("string").alias("k")), "k"))
+    for b in range(2):
+        store.absorb(store.keys(spark.range(b * 500, 1000 + b * 500).select(F.col("id").cast("string").alias("k")), "k"))
+    assert len(store.runs) == 2
     batch = store.keys(spark.range(100).select(F.col("id").cast("string").alias("k")), "k")
     plan = store.unseen(batch)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") == 1
+    for run in store.runs:
+        assert not {"Sort", "Exchange"} & set(above_scan(plan, run["table"])), plan
+
+
+def test_few_keys_are_looked_up_between_the_fences(spark):
+    store = seen_keys.SortedRunStore(spark, buckets=2)
+    store.append(store.keys(spark.range(5000).select(F.col("id").cast("string").alias("k")), "k"))
+    batch = store.keys(spark.createDataFrame([("17",), ("x",), ("4999",), (None,)], "k string"), "k")
+    out = store.unseen(batch, few=True)
+    assert [r.key for r in out.collect()] == ["x"]
+    assert "PushedFilters: [Or(" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_audit_finds_wrong_answers(spark):
+    accepted = [(1, "a.com")]
+    attempts = [(i, f"n{i % 70}.com" if i % 5 else "A.com.") for i in range(1, 301)] + [(300, None)]
+    acc, att = spark.createDataFrame(accepted, A), spark.createDataFrame(attempts, T)
+    right = spark.createDataFrame([(i,) for i in plain(accepted, attempts)], "id long")
+    assert tuple(seen_keys.audit(acc, att, "domain", "attempt_id", right).first()) == (6, 0)
+    assert tuple(seen_keys.audit(acc, att, "domain", "attempt_id", right.where("id <> 50")).first()) == (6, 1)
+    assert tuple(seen_keys.audit(acc, att, "domain", "attempt_id", right, every=1).first()) == (300, 0)
+
+
+def test_nothing_is_left_but_the_result(spark):
+    from zonewright import session, storage
+
+    folder = f"{session.shared_dir(spark)}/zonewright"
+    before = set(storage.names_in(spark, folder))
+    assert queries.queries()["p1_insert_report"](spark, "/root/testdata/sf0.001").count()
+    assert {x.split("-")[0] for x in set(storage.names_in(spark, folder)) - before} <= {"result"}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("zonewright_run") and t.name in str(before)]
 
 
 def test_extra_columns(spark):

@@ -43,7 +43,8 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 42) -> tuple[DataFrame,
     """The mixture ``doc_id, source, tokens, copies`` and the report of each source.
 
     ``docs`` has ``doc_id, source, tokens``. The report gives ``source, target_share, max_repeats,
-    stock_tokens, budget_tokens, drawn_tokens, actual_share, missing_tokens, reached``; ``actual_share``
+    stock_tokens, budget_tokens, drawn_tokens, actual_share, missing_tokens, reached``; a source is not ``reached`` if
+    the mixture holds all that it may give and still less than its budget; ``actual_share``
     is of the mixture drawn. Documents of sources without a target, of null or blank sources, and
     without tokens are not drawn. Without documents every source with a share is not reached.
     """
@@ -58,9 +59,10 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 42) -> tuple[DataFrame,
     drawn = materialize(drawn, "mixture")
     got = drawn.groupBy("key").agg(F.sum(F.col("tokens") * F.col("copies")).alias("drawn"))
     whole = got.agg(F.sum("drawn")).scalar()
+    used = F.coalesce("drawn", F.lit(0))
     report = budgets.join(got, "key", "left").select(
         "source", "target_share", "max_repeats", F.col("stock").alias("stock_tokens"), F.col("budget").alias("budget_tokens"),
-        F.coalesce("drawn", F.lit(0)).alias("drawn_tokens"), F.coalesce(F.col("drawn") / whole, F.lit(0.0)).alias("actual_share"),
-        F.col("missing").alias("missing_tokens"), (F.col("missing") == 0).alias("reached"),
+        used.alias("drawn_tokens"), F.coalesce(F.col("drawn") / whole, F.lit(0.0)).alias("actual_share"),
+        F.col("missing").alias("missing_tokens"), ~((used < F.col("budget")) & (used >= F.col("max_repeats") * F.col("stock"))).alias("reached"),
     )
     return drawn.select("doc_id", "source", "tokens", "copies"), report

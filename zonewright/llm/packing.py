@@ -5,11 +5,13 @@ of at most ``capacity`` counts: it is aggregated by Spark, and planned on the dr
 number of documents. The plan names for each size which of its documents, by rank, go where:
 
 1. A document longer than the capacity fills whole containers; its remainder joins the others.
-2. Dominance reduction: take the largest size j. If no rest that fits beside it holds more than the
-   largest single partner i does (decided exactly, by subset sums), the set {j, i} (or {j} alone)
-   dominates every other set with j: whatever else were put beside j could take the place of i. So
-   it is fixed for good, for as many documents as there are of both, and the instance shrinks.
-   Sizes without a dominating set are left.
+2. Dominance reduction: a set {j, ...} dominates if the documents of any other set with j can be parted so
+   that each part takes the place of one document of the dominating set. It is then fixed for good, for as
+   many documents as there are of each, and the instance shrinks. Sets of up to three are tried for each
+   size j: {j} if nothing fits beside it; {j, i} with i the largest partner, if no rest that fits holds more
+   than i (decided exactly, by subset sums); {j, i, k} if at most two fit beside j, i is the largest
+   partner, k the largest beside both, and in no pair beside j both are larger than k. Sizes that were not decided are tried again
+   whenever something was fixed, until nothing is.
 3. The remainder is packed best-fit by falling size, on groups of containers with equal free space.
 
 Ranks of equal sizes come from distributed prefix sums, so a frequent size is no hot spot.
@@ -35,6 +37,7 @@ class _Plan:
         self.left = dict(counts)
         self.used = dict.fromkeys(counts, 0)
         self.containers = 0
+        self.fixed_sets: dict[int, int] = {}  # containers fixed by dominance, by the size of their set; full pieces need none
         self.runs: list[tuple[int, int, int, int, int]] = []  # size, first rank, documents, first container, documents a container
 
     def open(self, n: int) -> int:
@@ -48,6 +51,14 @@ class _Plan:
         self.left[size] -= n * each
 
 
+def _taken_greedily(sizes: list[int], left: dict[int, int], room: int, j: int) -> int:
+    """A sum of documents at hand beside one of ``j`` that fits: largest first."""
+    total = 0
+    for s in reversed(sizes[: bisect_right(sizes, room)]):
+        total += min(left[s] - (s == j), (room - total) // s) * s
+    return total
+
+
 def _fullest_rest(sizes: list[int], left: dict[int, int], room: int, j: int) -> int:
     """Largest sum of the documents at hand, beside one of size ``j``, that is at most ``room``:
     subset sums as the bits of one number, counts doubled up."""
@@ -58,42 +69,77 @@ def _fullest_rest(sizes: list[int], left: dict[int, int], room: int, j: int) ->
             take = min(step, n)
             sums |= (sums << (s * take)) & mask
             n, step = n - take, step * 2
-        if sums >> room:
+        if sums >> room & 1:
             return room
     return sums.bit_length() - 1
 
 
+class _Stock:
+    """Documents that are left beside some that are taken."""
+
+    def __init__(self, sizes: list[int], left: dict[int, int], taken: list[int]):
+        self.sizes, self.n = sizes, lambda s: left[s] - taken.count(s)
+
+    def largest(self, room: int) -> int:
+        """The largest size of at most ``room``, 0 if there is none."""
+        at = bisect_right(self.sizes, room)
+        while at and not self.n(self.sizes[at - 1]):
+            at -= 1
+        return self.sizes[at - 1] if at else 0
+
+    def smallest(self, k: int) -> list[int]:
+        out: list[int] = []
+        for s in self.sizes:
+            out += [s] * min(self.n(s), k - len(out))
+            if len(out) == k:
+                break
+        return out
+
+    def best_pair(self, room: int) -> int:
+        """The largest smaller half of a pair that fits, 0 if no pair does."""
+        for s in reversed(self.sizes[: bisect_right(self.sizes, room // 2)]):
+            if self.n(s) > 1 or self.n(s) and self._above(s, room - s):
+                return s
+        return 0
+
+    def _above(self, s: int, most: int) -> bool:
+        return any(self.n(x) for x in self.sizes[bisect_right(self.sizes, s) : bisect_right(self.sizes, most)])
+
+
+def dominating_set(sizes: list[int], left: dict[int, int], j: int, capacity: int) -> list[int] | None:
+    """Up to three sizes, ``j`` first, that dominate every other set with ``j``; None if none is found."""
+    room = capacity - j
+    partner = _Stock(sizes, left, [j]).largest(room)
+    if not partner:
+        return [j]
+    if _taken_greedily(sizes, left, room, j) <= partner and _fullest_rest(sizes, left, room, j) <= partner:
+        return [j, partner]
+    beside = _Stock(sizes, left, [j])
+    three = beside.smallest(3)
+    if len(three) == 3 and sum(three) <= room:
+        return None
+    third = _Stock(sizes, left, [j, partner]).largest(room - partner)
+    return [j, partner, third] if third and beside.best_pair(room) <= third else None
+
+
 def reduce_instance(plan: _Plan, capacity: int) -> None:
-    """Fix dominating sets from the largest size down, while there are any."""
-    sizes = sorted(s for s, n in plan.left.items() if n)
-    undecided: set[int] = set()
+    """Fix dominating sets, from the largest size down, until a pass over all sizes finds none."""
     while True:
-        todo = [s for s in sizes if s not in undecided]
-        if not todo:
+        before = plan.containers
+        for j in sorted((s for s, n in plan.left.items() if n), reverse=True):
+            while plan.left[j]:
+                sizes = sorted(s for s, n in plan.left.items() if n)
+                chosen = dominating_set(sizes, plan.left, j, capacity)
+                if chosen is None:
+                    break
+                each = {s: chosen.count(s) for s in chosen}
+                n = min(plan.left[s] // k for s, k in each.items())
+                first = plan.open(n)
+                for s, k in each.items():
+                    plan.put(s, first, n, k)
+                plan.fixed_sets[len(chosen)] = plan.fixed_sets.get(len(chosen), 0) + (0 if j == capacity else n)
+        if plan.containers == before:
             return
-        j = todo[-1]
-        room = capacity - j
-        at = bisect_right(sizes, room)
-        partner = sizes[at - 1] if at else 0
-        if partner == j and plan.left[j] == 1:
-            partner = sizes[at - 2] if at > 1 else 0
-        if not partner:
-            n = plan.left[j]
-            plan.put(j, plan.open(n), n)
-        elif _fullest_rest(sizes, plan.left, room, j) > partner:
-            undecided.add(j)
-            continue
-        elif partner == j:
-            n = plan.left[j] // 2
-            plan.put(j, plan.open(n), n, 2)
-        else:
-            n = min(plan.left[j], plan.left[partner])
-            first = plan.open(n)
-            plan.put(j, first, n)
-            plan.put(partner, first, n)
-        gone = [s for s in {j, partner} if s and not plan.left[s]]
-        for s in gone:
-            sizes.remove(s)
 
 
 def best_fit(plan: _Plan, capacity: int) -> None:
@@ -138,11 +184,30 @@ def plan_containers(counts: dict[int, int], capacity: int = CAPACITY) -> _Plan:
     """Plan for documents of sizes 1 to ``capacity``, given how many there are of each."""
     plan = _Plan(counts)
     reduce_instance(plan, capacity)
-    plan.fixed = plan.containers
     best_fit(plan, capacity)
     return plan
 
 
+def plain_best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> int:
+    """Containers that best-fit alone would need."""
+    plan = _Plan(counts)
+    best_fit(plan, capacity)
+    return plan.containers
+
+
+def fewest_containers(counts: dict[int, int], capacity: int = CAPACITY) -> int:
+    """A proven lower bound: for each a up to half the capacity, documents above capacity - a need a container each,
+    as do those above half, and what the free space of the latter cannot hold of the sizes from a on needs more."""
+    best, half = 0, capacity // 2
+    for a in {0, *(s for s in counts if s <= half)}:
+        alone = sum(n for s, n in counts.items() if s > capacity - a)
+        big = {s: n for s, n in counts.items() if half < s <= capacity - a}
+        middle = sum(s * n for s, n in counts.items() if a <= s <= half)
+        free = sum((capacity - s) * n for s, n in big.items())
+        best = max(best, alone + sum(big.values()) + max(0, -(-(middle - free) // capacity)))
+    return best
+
+
 def pieces(docs: DataFrame, doc_id: str, size: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, n_pieces, tokens``: one piece a document, more only if it exceeds the capacity."""
     whole = F.coalesce(F.col(size), F.lit(0))
@@ -164,6 +229,7 @@ def pack(docs: DataFrame, doc_id: str, size: str, capacity: int = CAPACITY) -> t
     # at most `capacity` rows, whatever the number of documents
     counts = {r[0]: r[1] for r in parts.where("tokens > 0").groupBy("tokens").count().collect()}
     plan = plan_containers(counts, capacity)
+    plan.counts = counts
     rows = parts.withColumn("place_", cuts.unit_hash(F.col("doc_id"), F.col("piece"))).withColumn("tie_", F.struct("doc_id", "piece"))
     ranked = cuts.prefix_sums(rows.where("tokens > 0"), ["tokens"], "place_", "tie_", F.lit(1))
     runs = spark.createDataFrame(plan.runs or [], "size_run int, rank0 bigint, n_run bigint, container0 bigint, each_run int")

@@ -7,12 +7,13 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
 
-#: Rank file of the tokenizer; every executor needs it at this path.
+#: Rank file of the tokenizer on the driver, which gives it to the executors.
 VOCABULARY = os.environ.get("ZONEWRIGHT_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 # Fixed value: the pattern that splits text before the merges of that rank file.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -36,11 +37,14 @@ def token_count(text: Column, vocabulary: str = VOCABULARY) -> Column:
     a text are ordinary text.
     """
 
-    ship_package(SparkSession.getActiveSession())
+    spark = SparkSession.getActiveSession()
+    ship_package(spark)
+    spark.sparkContext.addFile(vocabulary)  # once, however often it is asked for
+    name = os.path.basename(vocabulary)
 
     @F.pandas_udf("bigint")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = _encoding(vocabulary)
+        enc = _encoding(SparkFiles.get(name))
         for texts in batches:
             yield pd.Series([len(enc.encode_ordinary(t)) if t else 0 for t in texts], dtype="int64")
 
