@@ -60,9 +60,10 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 42) -> tuple[DataFrame,
     got = drawn.groupBy("key").agg(F.sum(F.col("tokens") * F.col("copies")).alias("drawn"))
     whole = got.agg(F.sum("drawn")).scalar()
     used = F.coalesce("drawn", F.lit(0))
+    short = (used < F.col("budget")) & (used >= F.col("max_repeats") * F.col("stock"))
     report = budgets.join(got, "key", "left").select(
         "source", "target_share", "max_repeats", F.col("stock").alias("stock_tokens"), F.col("budget").alias("budget_tokens"),
         used.alias("drawn_tokens"), F.coalesce(F.col("drawn") / whole, F.lit(0.0)).alias("actual_share"),
-        F.col("missing").alias("missing_tokens"), ~((used < F.col("budget")) & (used >= F.col("max_repeats") * F.col("stock"))).alias("reached"),
+        F.col("missing").alias("missing_tokens"), (~short).alias("reached"),
     )
     return drawn.select("doc_id", "source", "tokens", "copies"), report

@@ -177,8 +177,12 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _levels(spark: SparkSession, d: str) -> DataFrame:
+    return _propagated(spark, d).rows
+
+
+def _propagated(spark: SparkSession, d: str) -> reading.Levels:
     grades = _t(spark, d, "doc_labels").select("doc_id", F.col("reading_band").alias("grade"))
-    return reading.reading_levels(_t(spark, d, "documents"), grades, english=F.lower("lang") == "en")
+    return reading.propagate(_t(spark, d, "documents"), grades, english=F.lower("lang") == "en")
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -192,6 +196,14 @@ def p8_levels(spark: SparkSession, d: str) -> DataFrame:
     return _levels(spark, d)
 
 
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    """One row: iterations, the last change and whether they settled; graded documents, each told from the others
+    only, and how many fall into their band and on their side of band 4."""
+    out = _propagated(spark, d)
+    row = (out.iterations, out.change, out.settled, out.graded, out.same_band, out.sides[2] if out.sides else 0)
+    return spark.createDataFrame([row], "iterations int, change double, settled boolean, graded bigint, in_own_band bigint, on_own_side_of_band_4 bigint")
+
+
 def p8_profile(spark: SparkSession, d: str) -> DataFrame:
     """Documents of each source and band, with their mean level."""
     levels = _levels(spark, d).join(_t(spark, d, "documents").select("doc_id", key_form("source").alias("source")), "doc_id")

@@ -7,7 +7,9 @@ to their grade. An iteration is harmonic on both sides: a feature takes the weig
 its documents, a document the mean over its sentences; clamped documents weigh 1, others
 ``FREE_WEIGHT``. The means of means shrink towards the middle, so levels are mapped back by the
 mean level of each grade among the graded documents (piecewise linear), in every iteration; at the
-end, by the boundaries that part neighbouring grades best.
+end, by the boundaries that part neighbouring grades best, each graded document told from the other
+documents only, so that its own grade does not speak for it. ``propagate`` also tells whether the iterations
+settled and how the graded documents come out then.
 
 A feature is its 64-bit hash. Documents lie in blocks of at most ``BLOCK`` occurrences of features (or one
 document) in a table of the shared folder, their features numbered within the block. The level and weight
@@ -17,8 +19,8 @@ more than a block, and the driver holds no feature.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +29,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch_path, ship_package, shuffle_partitions
+from ..session import materialize, scratch_path, scratch_table, ship_package, shuffle_partitions
 
 BLOCK = 1 << 21
 FREE_WEIGHT = 0.05
-ITERATIONS = 6
+ITERATIONS = 12
 TOLERANCE = 0.01
 BINS = 2000
 GRADES = (1, 2, 3, 4, 5)
@@ -159,6 +161,18 @@ class _Graph:
         """Level of each document before it is mapped back, NaN without a sentence."""
         return np.where(self.sents > 0, np.bincount(self.doc, self.edge * self.placed(score)[self.idx], minlength=self.n), np.nan)
 
+    def raw_of_others(self, num: pa.ChunkedArray, den: pa.ChunkedArray) -> np.ndarray:
+        """As ``raw`` of clamped documents, each without what its own grade gave to its features; NaN where no
+        feature has another document."""
+        _, pair = np.unique(self.doc * len(self.at) + self.idx, return_inverse=True)
+        own = np.bincount(pair, self.edge)[pair] if len(pair) else np.zeros(0)
+        left = self.placed(den)[self.idx] - own
+        there = left > 1e-6 * own
+        score = np.where(there, (self.placed(num)[self.idx] - own * self.grades[self.doc]) / np.where(there, left, 1.0), 0.0)
+        weight = np.where(there, self.edge, 0.0)
+        total = np.bincount(self.doc, weight, minlength=self.n)
+        return np.divide(np.bincount(self.doc, weight * score, minlength=self.n), total, out=np.full(self.n, np.nan), where=total > 0)
+
 
 def _spread(knots, free: float):
     """Per block: sums of ``mass * level`` and of ``mass`` for each feature. Without ``knots`` the level
@@ -185,10 +199,16 @@ def _read(knots):
     return run
 
 
+def _read_others(block: pa.Table, values: pa.Table) -> pa.Table:
+    """``grade, raw`` of clamped documents, each told from the others only."""
+    g = _Graph(block, values)
+    return pa.table({"grade": g.grades, "raw": pa.array(g.raw_of_others(values["num"], values["den"]), from_pandas=True)})
+
+
 def _bucketed(rows: DataFrame, name: str, key: str) -> DataFrame:
     """As ``materialize``, placed by ``key``: joins by it do not move the table again."""
     spark = rows.sparkSession
-    n, table = shuffle_partitions(spark), f"zonewright_{name}_{uuid.uuid4().hex}"
+    n, table = shuffle_partitions(spark), scratch_table(spark, name)
     rows.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", scratch_path(spark, name)).saveAsTable(table)
     return spark.table(table)
 
@@ -207,10 +227,10 @@ class _Corpus:
         self.blocks = _bucketed(packed.drop("terms", "counts"), "blocks", "block")
         self.terms = _bucketed(packed.mapInArrow(_terms, "block bigint, graded boolean, pos int, feature bigint, n bigint"), "terms", "feature")
 
-    def each(self, graded: bool | None, state: DataFrame, step, schema: str) -> DataFrame:
+    def each(self, graded: bool | None, state: DataFrame, step, schema: str, of: tuple[str, ...] = ("weight", "score")) -> DataFrame:
         """``step`` on each block (graded, not graded, all) beside the weights and scores of its features."""
         kind = F.lit(True) if graded is None else F.col("graded") == graded
-        values = self.terms.where(kind).join(state.select("feature", "weight", "score"), "feature").select("block", "pos", "feature", "weight", "score")
+        values = self.terms.where(kind).join(state.select("feature", *of), "feature").select("block", "pos", "feature", *of)
         return self.blocks.where(kind).groupBy("block").cogroup(values.groupBy("block")).applyInArrow(step, schema)
 
     def sums(self, graded: bool, state: DataFrame, step) -> DataFrame:
@@ -220,6 +240,10 @@ class _Corpus:
         return self.each(graded, state, _read(knots), "doc_id bigint, grade double, raw double, level double")
 
 
+    def of_others(self, state: DataFrame) -> DataFrame:
+        return self.each(True, state, _read_others, "grade double, raw double", ("weight", "num", "den"))
+
+
 def _knots(rows: DataFrame) -> tuple[list[float], list[float]]:
     """Mean raw level of each grade, rising; the map from raw levels to grades."""
     means = dict(rows.where("raw is not null").groupBy(F.round("grade").cast("int").alias("g")).agg(F.avg("raw")).collect())
@@ -257,15 +281,23 @@ def _boundaries(rows: DataFrame) -> tuple[list[float], list[float]]:
     return xs, ys
 
 
-def reading_levels(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str = "text", english: Column | None = None) -> DataFrame:
-    """``doc_id, level, band`` of each document with running text; ``level`` is continuous from 1
-    to 5, ``band`` the nearest whole grade (halves upwards).
+@dataclass(frozen=True)
+class Levels:
+    """Levels of all documents, and how propagation went: iterations, the largest change of a feature's score in the
+    last one, whether that is below the tolerance, and the graded documents told from the others only, with how many
+    of them fall into their own band, and on their own side of each boundary between bands."""
 
-    ``grades`` has ``doc_id, grade``; several grades of a document are averaged, grades outside 1
-    to 5 and null grades do not count. Where ``english`` is not true, the text may be in any language and
-    only its English sentences count; without it all texts are English. Documents without running English
-    (null, empty, lists only, other languages) get null. Without any graded document with text all levels are null.
-    """
+    rows: DataFrame
+    iterations: int = 0
+    change: float | None = None
+    settled: bool = False
+    graded: int = 0
+    same_band: int = 0
+    sides: tuple[int, ...] = ()
+
+
+def propagate(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str = "text", english: Column | None = None) -> Levels:
+    """The levels of ``reading_levels``, with figures of the run."""
     ship_package(docs.sparkSession)
     told = grades.where(F.col("grade").between(GRADES[0], GRADES[-1])).groupBy("doc_id").agg(F.avg("grade").cast("double").alias("grade"))
     read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), running_sentences(F.col(text)).alias("s"), (F.lit(True) if english is None else F.coalesce(english, F.lit(False))).alias("told"))
@@ -281,16 +313,57 @@ def reading_levels(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", t
     told = materialize(state.join(told, "feature", "left").select("feature", "weight", F.coalesce("num0", F.lit(0.0)).alias("num0"), F.coalesce("den0", F.lit(0.0)).alias("den0")), "told")
     num0, den0 = told.agg(F.sum("num0"), F.sum("den0")).first()
     if not den0:
-        return corpus.blocks.mapInArrow(_ids, "doc_id bigint").select("doc_id", F.lit(None).cast("double").alias("level"), F.lit(None).cast("int").alias("band"))
+        return Levels(corpus.blocks.mapInArrow(_ids, "doc_id bigint").select("doc_id", F.lit(None).cast("double").alias("level"), F.lit(None).cast("int").alias("band")))
     middle = F.lit(num0 / den0)
     state = told.withColumn("score", F.when(F.col("den0") > 0, F.col("num0") / F.col("den0")).otherwise(middle))
-    for _ in range(ITERATIONS):
+    done, change = 0, float("inf")
+    for done in range(1, ITERATIONS + 1):
         knots = _knots(corpus.levels(True, state, None))
         sums = corpus.sums(False, state, _spread(knots, FREE_WEIGHT))
-        num, den = (F.col(c + "0") + F.coalesce(c, F.lit(0.0)) for c in ("num", "den"))
-        new = state.join(sums, "feature", "left").select("feature", "weight", "num0", "den0", F.col("score").alias("old"), F.when(den > 0, num / den).otherwise(middle).alias("score"))
-        state = materialize(new, "state")
-        if state.agg(F.max(F.abs(F.col("score") - F.col("old")))).first()[0] < TOLERANCE:
+        old = state.select("feature", "weight", "num0", "den0", F.col("score").alias("old"))
+        both = old.join(sums, "feature", "left").withColumns({c: F.col(c + "0") + F.coalesce(c, F.lit(0.0)) for c in ("num", "den")})
+        state = materialize(both.withColumn("score", F.when(F.col("den") > 0, F.col("num") / F.col("den")).otherwise(middle)), "state")
+        change = state.agg(F.max(F.abs(F.col("score") - F.col("old")))).first()[0]
+        if change < TOLERANCE:
             break
-    levels = corpus.levels(None, state, _boundaries(corpus.levels(True, state, None)))
-    return levels.select("doc_id", "level", F.floor(F.col("level") + 0.5).cast("int").alias("band"))
+    others = materialize(corpus.of_others(state), "others")
+    grade = F.floor(F.col("grade") + 0.5).cast("int")
+    alone = [g for g, n in others.groupBy(grade.alias("g")).agg(F.count("raw")).collect() if not n]
+    known = others.select("grade", "raw")
+    if alone:  # grades whose documents share no feature with others can only be told by themselves
+        known = known.unionByName(corpus.levels(True, state, None).where(grade.isin(alone)).select("grade", "raw"))
+    boundaries = _boundaries(known)
+    levels = corpus.levels(None, state, boundaries)
+    return Levels(levels.select("doc_id", "level", F.floor(F.col("level") + 0.5).cast("int").alias("band")), done, change, change < TOLERANCE, *_told_right(others, boundaries))
+
+
+def _told_right(others: DataFrame, boundaries: tuple[list[float], list[float]]) -> tuple[int, int, tuple[int, ...]]:
+    """Graded documents, those in their own band and those on their own side of each boundary, by the raw levels that
+    the other documents give them: counted in a table of fixed size."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((len(GRADES) + 1, len(GRADES) + 1), np.int64)
+        for b in batches:
+            grade, raw = (b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("grade", "raw"))
+            some = ~np.isnan(raw)
+            got = np.floor(np.interp(raw[some], *boundaries) + 0.5).astype(int)
+            np.add.at(seen, (np.floor(grade[some] + 0.5).astype(int), got), 1)
+        at = np.argwhere(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1]), pa.array(seen[tuple(at.T)])], names=["grade", "band", "n"])
+
+    if not boundaries[0]:
+        return 0, 0, ()
+    table = [tuple(r) for r in others.mapInArrow(count, "grade bigint, band bigint, n bigint").groupBy("grade", "band").agg(F.sum("n")).collect()]
+    return sum(n for *_, n in table), sum(n for g, b, n in table if g == b), tuple(sum(n for g, b, n in table if (g > edge) == (b > edge)) for edge in GRADES[:-1])
+
+
+def reading_levels(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str = "text", english: Column | None = None) -> DataFrame:
+    """``doc_id, level, band`` of each document with running text; ``level`` is continuous from 1
+    to 5, ``band`` the nearest whole grade (halves upwards).
+
+    ``grades`` has ``doc_id, grade``; several grades of a document are averaged, grades outside 1
+    to 5 and null grades do not count. Where ``english`` is not true, the text may be in any language and
+    only its English sentences count; without it all texts are English. Documents without running English
+    (null, empty, lists only, other languages) get null. Without any graded document with text all levels are null.
+    """
+    return propagate(docs, grades, doc_id, text, english).rows
