@@ -49,7 +49,7 @@ def test_pairs_with_and_without_header(spark, tmp_path):
     a.write_text("x,Algo_Code,Domain\n1,k,a.com\n")
     b.write_text("a.com,k\ndomain,algorithm\nb.com,m\n")
     assert [(r.domain, r.code) for r in lists.read_pairs(spark, str(a), True).collect()] == [("a.com", "k")]
-    assert [(r.domain, r.code) for r in lists.read_pairs(spark, str(b), True).collect()] == [("a.com", "k"), ("b.com", "m")]
+    assert [(r.domain, r.code) for r in lists.read_pairs(spark, str(b), True).orderBy("pos").collect()] == [("a.com", "k"), ("b.com", "m")]
     a.write_text("a.com\n")
     with pytest.raises(ValueError):
         lists.read_pairs(spark, str(a), True)
@@ -81,18 +81,50 @@ def test_parts(spark, tmp_path):
 def test_documents(spark, tmp_path):
     m = files.manifest(DEFAULT, {"rows": 2}, {"seed": 42})
     assert len(m["columns"]) == 57 and m["feature_name_order_checksum"].startswith("fef951ea")
-    files.write_json(m, str(tmp_path / "m.json"))
+    files.write_json(spark, m, str(tmp_path / "m.json"))
     assert json.loads((tmp_path / "m.json").read_text())["counts"] == {"rows": 2}
-    assert files.file_digest(str(tmp_path / "m.json")) == hashlib.sha256((tmp_path / "m.json").read_bytes()).hexdigest()
+    assert files.read_json(spark, f"file://{tmp_path}/m.json")["counts"] == {"rows": 2} and m["generated_at"].endswith("+00:00")
     assert files.gzip_verified(str(tmp_path / "m.json")).endswith(".gz")
     assert len(files.schema_description(FeatureSet([Feature("L_ENTROPY", description="x")]))["fields"]) == 4
     assert [f.nullable for f in files.final_schema(DEFAULT).fields] == [False] * 57
     with pytest.raises(FileExistsError):
-        files.refuse_existing([str(tmp_path / "m.json")], False)
-    files.refuse_existing([str(tmp_path / "m.json")], True)
+        files.refuse_existing(spark, [str(tmp_path / "m.json")], False)
+    files.refuse_existing(spark, [str(tmp_path / "m.json")], True)
     assert not (tmp_path / "m.json").exists()
-    (tmp_path / "i.txt").write_text("abc")
-    assert files.input_digests(spark, str(tmp_path / "i.txt")).first().sha256 == hashlib.sha256(b"abc").hexdigest()
+    (tmp_path / "i.txt").write_bytes(b"abc" * 1_000_000)
+    told = files.file_digests(spark, [f"file:{tmp_path}/i.txt"]).first()
+    assert (told.length, told.sha256) == (3_000_000, hashlib.sha256(b"abc" * 1_000_000).hexdigest())
+    assert [files.portable_path(p, "file:///a/out") for p in ("file:/a/out/data/x", "/b/y")] == ["data/x", "y"]
+
+
+def test_inputs_are_found_in_singular_or_plural(spark, tmp_path):
+    (tmp_path / "name.csv").write_text("a.com\n")
+    assert lists.resolve_input(spark, f"{tmp_path}/names.csv") == f"{tmp_path}/name.csv" == lists.resolve_input(spark, f"{tmp_path}/name.csv")
+    with pytest.raises(FileNotFoundError):
+        lists.resolve_input(spark, f"{tmp_path}/other.csv")
+
+
+def test_pairs_of_many_files_are_in_file_order(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k, n in (("c", 30), ("a", 4000), ("b", 900)):
+        (tmp_path / "in" / f"{k}.csv").write_text("".join(f"{k}{i}.com\n" for i in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        rows = lists.read_pairs(spark, str(tmp_path / "in"), False).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [f"{k}{i}.com" for k, n in (("a", 4000), ("b", 900), ("c", 30)) for i in range(n)]
+    assert [r.domain for r in sorted(rows, key=lambda r: r.pos)] == want and [r.pos for r in sorted(rows, key=lambda r: r.pos)] == list(range(len(want)))
+
+
+def test_nothing_is_left_but_results(spark):
+    from zonewright import session, storage
+
+    folder = f"{session.shared_dir(spark)}/zonewright"
+    before = set(storage.names_in(spark, folder))
+    for q in ("p4_found", "build_dataset", "part_numbers", "csv_export"):
+        assert catalogue.queries()[q](spark, D).count()
+    assert {x.split("-")[0] for x in set(storage.names_in(spark, folder)) - before} == {"result"}
 
 
 def test_stream_equals_batch_and_restarts(spark, tmp_path):

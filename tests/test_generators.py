@@ -15,10 +15,21 @@ def test_discovery_reads_syntax_only(tmp_path):
     assert list(found) == ["a", "b", "broken", "c", "d", "my-locky"]
     assert (found["b"].entry, found["b"].function, found["b"].parameters, found["b"].defaults, found["b"].category) == ("dga.py", "dga", ("seed",), ("nr",), "seed_based")
     assert found["a"].function == "next_domain" and found["a"].category == "date_based" and found["my-locky"].category == "known_family"
-    assert [found[x].problem for x in ("a", "b", "c", "d", "broken")] == [None, None, "empty function", "no Python file", "no function"]
+    assert [found[x].problem for x in ("a", "b", "c", "d", "broken")] == [None, None] + ["missing_implementation"] * 3
     assert g.discover(str(tmp_path / "none")) == []
 
 
+def test_faults_of_entry_files():
+    for text, function, fault in (
+        ("def dga(seed):\n  return 'x'", "dga", None), ("print('a.com')", None, None), ("class A:\n  def f(self): return 1", None, None), ("if __name__ == '__main__':\n  print(1)", None, None),
+        ("def (", None, "missing_implementation"), ("# moved to another place", None, "unresolved_redirect"), ("# https://x.org moved", None, "unresolved_redirect"), ("", None, "placeholder_module"),
+        ("def dga():\n  'TODO'\n  pass", "dga", "invalid_stub"), ("def dga():\n  raise NotImplementedError('not implemented')", "dga", "invalid_stub"), ("def dga():\n  ...", "dga", "missing_implementation"),
+        ("import os\nx = 1", None, "missing_implementation"), ("def dga():\n  pass\n# redirect", "dga", "unresolved_redirect"), ("def other():\n  return 1", "dga", "missing_implementation"),
+        ("def dga():\n  raise ValueError('x')", "dga", None),
+    ):
+        assert g.fault_of(text, function) == fault, text
+
+
 def test_emit_kinds(spark):
     def endless(slot):
         n = 0
@@ -93,3 +104,39 @@ def test_finite_collections_are_taken_whole(spark):
     assert [r.raw for r in both] == ["b'x'", "7", "q.com", "p.com"]
     g.table_function(spark, "emit_many", lambda slot: tuple(f"n{i}.com" for i in range(10_000)))
     assert spark.sql("SELECT raw FROM range(1), LATERAL emit_many(id)").count() == 10_000
+
+
+def test_parameters_are_bound_by_name(spark):
+    axes = g.Axes(base_seed=5, base_date="2024-01-31", first_date="2024-01-01", last_date="2024-02-01")
+    names = ["seed", "magic", "Date", "year", "month", "day", "nr", "config_nr", "version", "prefix", "tlds", "domain", "md5", "length", "config", "whatever"]
+    rows = spark.range(12).select(*[g.bound(n, F.col("id"), "x", axes).alias(n) for n in names]).collect()
+    assert [r.seed for r in rows[:3]] == [5, 6, 7] and [str(r.Date) for r in rows[:3]] == ["2024-01-31", "2024-02-01", "2024-02-01"]
+    assert tuple(rows[8])[3:] == (2024, 2, 1, 8, 3, "v2", "sn", ["com", "net", "org", "biz", "info", "ru"], "example8.com", "c9f0f895fb98ab9159f51fd0297e236d", 16, "c", 1)
+    assert spark.range(1).select(g.bound("magic", F.col("id"), "x", g.Axes(base_seed=1 << 32))).first()[0] == 1
+
+
+def test_plans():
+    found = [g.Found(c, "", "dga.py", "dga", (), (), k, p) for c, k, p in (("a", "seed_based", None), ("b", "seed_based", None), ("c", None, None), ("d", None, "invalid_stub"))]
+    assert {p.code: (p.cap, p.status) for p in g.plan_run(found, 100, 40)} == {"a": (25, "usable"), "b": (25, "usable"), "c": (40, "usable"), "d": (0, "invalid_stub")}
+    assert [(p.code, p.cap, p.status) for p in g.plan_run(found, 100, 40, ["c", "x", "d"])] == [("c", 40, "usable"), ("x", 0, "missing"), ("d", 0, "invalid_stub"), ("a", 0, "ignored"), ("b", 0, "ignored")]
+
+
+def test_stop_reasons_and_unique_share(spark, tmp_path):
+    bad = g.Source("err", lambda slots: g.emit(slots, lambda slot: 1 // 0, ["slot"]), 10)
+    run = g.Run(spark, str(tmp_path / "s"), [*sources(), bad], full_batch=100, patience=2, max_errors=2)
+    run.run()
+    assert [run.stop_reason(s) for s in run.sources] == ["cap_reached", "exhausted", "no_output", "errors"] and run.errors() == []
+    told = run.report(target=999)
+    assert told["held"] == 140 and [r["held"] for r in told["sources"]] == [120, 20, 0, 0]
+    assert g.unique_share(spark.createDataFrame([(0, "a"), (1, "a"), (2, None), (3, "b")], "slot long, raw string")) == 2 / 3
+
+
+def test_batches_double_while_names_are_new(spark, tmp_path):
+    run = g.Run(spark, str(tmp_path / "s"), [source("one", 20_000, "concat('a', slot, '.com')")], full_batch=100)
+    assert run.run() == {"one": 20_000} and run.epoch < 12
+
+
+def test_target_ends_a_run(spark, tmp_path):
+    run = g.Run(spark, str(tmp_path / "s"), sources(), full_batch=30)
+    run.run(target=60)
+    assert 60 <= sum(s.held for s in run.sources) < 140

@@ -53,11 +53,12 @@ def without_one_dot(c: Column) -> Column:
     return F.when(c.endswith("."), F.substring(c, F.lit(1), F.length(c) - 1)).otherwise(c)
 
 
-def strict_name(c: Column | str) -> Column:
-    """Normal form of a generated name; names that are in it already skip every step."""
+def strict_name(c: Column | str, convert: bool = True) -> Column:
+    """Normal form of a generated name; names that are in it already skip every step. Without ``convert``, names
+    other than ASCII stay so."""
     raw = _c(c)
     n = without_one_dot(F.lower(strip(raw)))
-    full = F.when(n.rlike(r"[^\x00-\x7f]"), F.coalesce(idna(n), n)).otherwise(n)
+    full = F.when(n.rlike(r"[^\x00-\x7f]"), F.coalesce(idna(n), n)).otherwise(n) if convert else n
     return F.when(raw.rlike(_PLAIN), raw).otherwise(full)
 
 
@@ -149,6 +150,11 @@ def final_name(c: Column | str) -> Column:
     return F.when(n.rlike(rf"\A{_LABEL}(?:\.{_LABEL})*\z") & (F.length(n) <= 253), n)
 
 
+def sanitized(c: Column | str) -> Column:
+    """A name without its empty labels."""
+    return F.array_join(F.filter(F.split(_c(c), r"\."), lambda x: x != ""), ".")
+
+
 def suffix(c: Column | str) -> Column:
     """What follows the last dot, '' without a dot."""
     d = _c(c)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hashing import order_hash
 from ..functions.names import final_name, key_form, suffix
 from . import dedup, quota, sampling
 
@@ -22,8 +23,13 @@ def listed_names(rows: DataFrame, domain: str, order: str, generated: DataFrame)
     return dedup.without_overlap(dedup.first_wins(named, "domain", "pos"), generated, "domain")
 
 
-def balanced(generated: DataFrame, listed: DataFrame, seed: int = 42) -> DataFrame:
-    """``domain, class_value, label`` with as many generated (1) as listed (0) names.
+#: Columns that order the rows of a data set.
+ORDER = ("part_", "code_", "hash_", "pos_")
+
+
+def balanced(generated: DataFrame, listed: DataFrame, seed: int = 42, ordered: bool = False) -> DataFrame:
+    """``domain, class_value, label`` with as many generated (1) as listed (0) names, and the columns ``ORDER`` if
+    asked for: generated names before listed ones, each in their order; reduced ones by code and hash instead.
 
     Listed names are taken in their order up to the number of generated ones; if there are fewer,
     the generated ones are reduced in proportion to their codes. ``ValueError`` if a class is empty.
@@ -32,16 +38,24 @@ def balanced(generated: DataFrame, listed: DataFrame, seed: int = 42) -> DataFra
     rows = min(n_gen, n_list)
     if rows == 0:
         raise ValueError("each class needs at least one valid name")
-    if n_list < n_gen:
+    reduced = n_list < n_gen
+    if reduced:
         generated = quota.reduce_proportionally(generated, "class_value", "domain", rows, seed)
     listed = sampling.first_n(listed, "pos", rows)
-    return generated.select("domain", "class_value", F.lit(1).cast("tinyint").alias("label")).unionByName(
-        listed.select("domain", suffix("domain").alias("class_value"), F.lit(0).cast("tinyint").alias("label"))
+    none, pos = F.lit(None).cast("string"), F.col("pos").cast("bigint")
+    places = lambda part, *order: [F.lit(part).alias("part_"), *[c.alias(n) for c, n in zip(order, ORDER[1:], strict=True)]] if ordered else []
+    by_hash = (F.col("class_value"), order_hash(seed, "class_value", "domain"), F.lit(0).cast("bigint"))
+    first = places(0, *(by_hash if reduced else (none, none, pos)))
+    return generated.select("domain", "class_value", F.lit(1).cast("tinyint").alias("label"), *first).unionByName(
+        listed.select("domain", suffix("domain").alias("class_value"), F.lit(0).cast("tinyint").alias("label"), *places(1, none, none, pos))
     )
 
 
-def selection_counts(gen_rows: DataFrame, list_rows: DataFrame, domain: str, code: str, order: str) -> DataFrame:
-    """One row of counters of the two scans.
+def selection_counts(
+    gen_rows: DataFrame, list_rows: DataFrame, domain: str, code: str, order: str,
+    generated: DataFrame | None = None, listed: DataFrame | None = None,
+) -> DataFrame:
+    """One row of counters of the two scans. Who has the ``generated_names`` and ``listed_names`` already passes them.
 
     The scan of listed names stops at the row that fills the class, so its counters reach to that
     row only. Duplicates are tested before overlap, and overlapping names never count as seen: each
@@ -55,8 +69,8 @@ def selection_counts(gen_rows: DataFrame, list_rows: DataFrame, domain: str, cod
         F.coalesce(F.sum(F.when(F.col("d").isNotNull(), F.col("n") - 1)), F.lit(0)).alias("generated_duplicates"),
         F.count("d").alias("generated_unique"),
     )
-    generated = generated_names(gen_rows, domain, code, order)
-    listed = listed_names(list_rows, domain, order, generated)
+    generated = generated_names(gen_rows, domain, code, order) if generated is None else generated
+    listed = listed_names(list_rows, domain, order, generated) if listed is None else listed
     wanted = generated.count()
     kept = sampling.first_n(listed, "pos", wanted)
     full, last = kept.agg(F.count("*"), F.max("pos")).first()

@@ -28,10 +28,10 @@ def key_shares(rows: DataFrame, field: str) -> DataFrame:
     """``(field, key_value, n_rows, total_rows)`` for each key of a column; a key is compared
     trimmed and in lower case, null and blank values are one group without a key.
 
-    ``total_rows`` is the sum of the per-key counts, a scalar subquery on the same aggregate.
+    ``total_rows`` is a scalar subquery that reads no column.
     """
     counts = combine_by_key(rows, key_form(F.col(field)), {"n_rows": F.count("*")})
-    total = counts.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).scalar()
+    total = rows.agg(F.count("*")).scalar()
     return counts.select(F.lit(field).alias("field"), "key_value", "n_rows", total.alias("total_rows"))
 
 

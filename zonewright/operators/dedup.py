@@ -6,21 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def first_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """The row with the smallest ``order`` of each key; null keys are dropped.
+def first_wins(rows: DataFrame, key: str, order: str, ties: bool = True) -> DataFrame:
+    """The row with the smallest ``order`` of each key; null keys and null orders are dropped.
 
-    An aggregate of the smallest struct, not a window: tasks combine before the shuffle, so a key
-    with very many rows costs one row a task. Ties of the order are broken by the other columns.
+    The least order of each key comes from a hash aggregate, combined in each task, so a key with very many rows
+    costs one number a task; rows are then picked by key and order together, which no frequent key can skew.
+    Of rows that share key and order, the smallest by the other columns is taken; a caller whose order is unique
+    saves that step with ``ties=False``.
     """
+    k, o = F.col(f"`{key}`"), F.col(f"`{order}`")
+    named = rows.where(k.isNotNull() & o.isNotNull())
+    best = named.groupBy(k.alias("k_")).agg(F.min(o).alias("o_"))
+    firsts = named.join(best, (k == F.col("k_")) & (o == F.col("o_")), "left_semi")
+    if not ties:
+        return firsts
     others = [c for c in rows.columns if c not in (key, order)]
-    best = F.min(F.struct(F.col(f"`{order}`"), *[F.col(f"`{c}`") for c in others])).alias("best_")
-    out = rows.where(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias(key)).agg(best)
-    return out.select(*[F.col(f"`{key}`") if c == key else F.col(f"best_.`{c}`").alias(c) for c in rows.columns])
+    one = firsts.groupBy(k.alias(key), o.alias(order)).agg(F.min(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others])).alias("best_"))
+    return one.select(*[F.col(f"`{c}`") if c in (key, order) else F.col(f"best_.`{c}`").alias(c) for c in rows.columns])
 
 
-def insert_or_ignore(store: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
+def insert_or_ignore(store: DataFrame, batch: DataFrame, key: str, order: str, ties: bool = True) -> DataFrame:
     """Rows of ``batch`` to append: first of their key in the batch and not in the store."""
-    return first_wins(batch, key, order).join(store.select(key), key, "left_anti").select(*batch.columns)
+    return first_wins(batch, key, order, ties).join(store.select(key), key, "left_anti").select(*batch.columns)
 
 
 def without_overlap(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:

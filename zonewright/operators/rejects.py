@@ -3,7 +3,8 @@
 Facts of each file (delimiter, header, columns) come from small aggregates over its lines. For each
 file's schema an anchored pattern for whole rows is generated. A line that the pattern does not
 match goes through the field-prefix pattern, which grows field by field as far as the fields are
-sound; where it stops is the first broken field. All patterns are possessive, so they run in linear
+sound; where it stops is the first broken field, and what stands there tells the reason: no sound field, or
+sound fields in the wrong number. All patterns are possessive, so they run in linear
 time and constant stack on lines of any length.
 """
 
@@ -142,13 +143,13 @@ def file_schemas(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
 
 
 def schema_patterns(schemas: DataFrame) -> DataFrame:
-    """``delim, columns, name_index, row_re, sound_re, prefix_re, name_re``: the patterns of every
+    """``delim, columns, name_index, row_re, sound_re, prefix_re, field_re, name_re``: the patterns of every
     schema that occurs, made once for all files that share it."""
     delim, columns, at = F.col("delim"), F.col("columns"), F.col("name_index")
     kinds = schemas.where(delim.isNotNull()).select(delim, columns, at).distinct()
     made = kinds.select(
         delim, columns, at, row_pattern(delim, columns).alias("row_re"), sound_pattern(delim).alias("sound_re"),
-        prefix_pattern(delim).alias("prefix_re"), nth_pattern(delim, at).alias("name_re"),
+        prefix_pattern(delim).alias("prefix_re"), F.concat(F.lit(r"\A"), field_pattern(delim), F.lit(r"\z")).alias("field_re"), nth_pattern(delim, at).alias("name_re"),
     )
     return materialize(made, "patterns")
 
@@ -159,12 +160,12 @@ def _with_schema(lines: DataFrame, raw_lines: DataFrame, parse_config: DataFrame
     return lines.join(schemas, "file_id").join(schema_patterns(schemas), ["delim", "columns", "name_index"], "left")
 
 
-def classify_lines(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
+def classify_lines(raw_lines: DataFrame, parse_config: DataFrame, convert: bool = True) -> DataFrame:
     """Every line as ``file_id, line_no, kind, name, reason, broken_field``.
 
     ``kind`` is ``blank``, ``header``, ``valid`` or ``invalid``. ``name`` is the normal name of a
-    valid line; ``reason`` says why a line is invalid, ``broken_field`` (from 1) where the row
-    pattern failed, null if it held. Null lines are blank ones; repeated lines are all kept. The
+    valid line (IDNA unless ``convert`` is false); ``reason`` says why a line is invalid, ``broken_field`` (from 1) which
+    field: where the field-prefix pattern stops, or the name's. A missing column is no field. Null lines are blank ones; repeated lines are all kept. The
     schemas are written first and joined by file: Spark broadcasts them if their size is below its
     threshold, and lines are not moved; otherwise the adaptive join splits a file that is too large.
     """
@@ -175,28 +176,31 @@ def classify_lines(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
     )
     fits = delim.isNull() | matches(line, F.col("row_re"))
     lines = lines.withColumn("fits", F.when(F.col("kind") == "data", fits))
-    prefix = F.call_function("regexp_extract", line, F.col("prefix_re"), F.lit(0))
-    sound = matches(line, F.col("sound_re"))
-    broken = count_delimiters(prefix, delim) + 1
+    # the sound fields in front, each with its delimiter; what follows is the last field, or the first broken one
+    prefix = F.when(F.col("kind") == "data", F.when(~F.col("fits"), F.call_function("regexp_extract", line, F.col("prefix_re"), F.lit(0))))
+    lines = lines.withColumn("prefix", prefix)
+    rest = F.substring(line, F.length("prefix") + 1, F.length(line))
+    broken = count_delimiters(F.col("prefix"), delim) + 1
     row_reason = (
         F.when(F.col("column_missing") & delim.isNotNull(), "domain_column_missing")
-        .when(~F.col("fits") & ~sound, "broken_quoting")
+        .when(~F.col("fits") & (rest != "") & ~matches(rest, F.col("field_re")), "broken_quoting")
         .when(~F.col("fits"), "column_count")
     )
-    lines = lines.withColumn("row_reason", F.when(F.col("kind") == "data", row_reason)).withColumn(
-        "broken_field",
-        F.when(F.col("row_reason") == "broken_quoting", broken).when(F.col("row_reason") == "column_count", F.least(broken, columns + 1)),
-    )
+    lines = lines.withColumn("row_reason", F.when(F.col("kind") == "data", row_reason))
     cell = F.when(delim.isNull(), line).otherwise(nth_field(line, F.col("name_re")))
     lines = lines.withColumn("cell", F.when((F.col("kind") == "data") & F.col("row_reason").isNull(), cell))
-    lines = lines.withColumn("normal", strict_name("cell"))
+    lines = lines.withColumn("normal", strict_name("cell", convert))
     name_reason = F.when(F.col("cell").isNotNull(), strict_reason(F.col("cell"), F.col("normal")))
     lines = lines.withColumn("reason", F.coalesce("row_reason", name_reason))
+    at = (
+        F.when(F.col("row_reason") == "broken_quoting", broken).when(F.col("row_reason") == "column_count", F.least(broken, columns + 1))
+        .when(F.col("row_reason").isNull() & F.col("reason").isNotNull(), F.col("name_index") + 1)
+    )
     return lines.select(
         "file_id", "line_no",
         F.when(F.col("kind") != "data", F.col("kind")).when(F.col("reason").isNull(), "valid").otherwise("invalid").alias("kind"),
         F.when(F.col("reason").isNull(), F.col("normal")).alias("name"),
-        "reason", "broken_field",
+        "reason", at.alias("broken_field"),
     )
 
 
@@ -210,11 +214,11 @@ def cells(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
     return data.where(there).select("file_id", "line_no", F.when(delim.isNull(), line).otherwise(nth_field(line, F.col("name_re"))).alias("cell"))
 
 
-def rejected_lines(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
+def rejected_lines(raw_lines: DataFrame, parse_config: DataFrame, convert: bool = True) -> DataFrame:
     """``file_id, line_no, reason, broken_field`` of the data lines that fail."""
-    return classify_lines(raw_lines, parse_config).where("kind = 'invalid'").select("file_id", "line_no", "reason", "broken_field")
+    return classify_lines(raw_lines, parse_config, convert).where("kind = 'invalid'").select("file_id", "line_no", "reason", "broken_field")
 
 
-def loaded_lines(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
+def loaded_lines(raw_lines: DataFrame, parse_config: DataFrame, convert: bool = True) -> DataFrame:
     """``file_id, line_no, name`` of the data lines that load."""
-    return classify_lines(raw_lines, parse_config).where("kind = 'valid'").select("file_id", "line_no", "name")
+    return classify_lines(raw_lines, parse_config, convert).where("kind = 'valid'").select("file_id", "line_no", "name")

@@ -97,7 +97,7 @@ def mutated(rows: DataFrame, base: str, slot: str, suffixes: list[str], changes:
     for i in range(changes):
         h = uint64(sha_text(seed, F.col(slot), F.lit(f"change{i}")))
         at = F.pmod(h, F.greatest(F.length(base), F.lit(1))).cast("int") + 1
-        ch = F.substring(letters, F.pmod((h / 256).cast("decimal(20,0)"), F.lit(26)).cast("int") + 1, F.lit(1))
+        ch = F.substring(letters, F.pmod(F.floor(h / 256), F.lit(26)).cast("int") + 1, F.lit(1))
         name = F.overlay(name, ch, at, F.lit(1))
     pick = F.pmod(uint64(sha_text(seed, F.col(slot), F.lit("suffix"))), F.lit(len(suffixes))).cast("int")
     return rows.select(slot, base, F.concat(name, F.lit("."), F.get(F.array(*map(F.lit, suffixes)), pick)).alias("domain"))

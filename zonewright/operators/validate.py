@@ -36,6 +36,18 @@ def rollup(data: DataFrame) -> DataFrame:
     return one.withColumn("k", F.lit(1)).join(twice.withColumn("k", F.lit(1)), "k").drop("k").withColumn("balanced", F.col("listed") == F.col("generated"))
 
 
+def part_errors(parts: list[tuple[str, list[str]]], registry: FeatureSet) -> list[str]:
+    """Files whose columns are not those of the data set, in their order."""
+    return [f"{path}: {e}" for path, columns in parts for e in schema_errors([c for c in columns if c != "split"], registry)]
+
+
+def arff_errors(attributes: list[str], broken_rows: int, registry: FeatureSet) -> list[str]:
+    """Faults of a sample file: other attributes than the columns, or rows with another number of fields."""
+    want = ["DOMAIN", *registry.names, "CLASS", "LABEL"]
+    out = [] if attributes == want else [f"attributes of the sample differ: {sorted(set(attributes) ^ set(want)) or 'order'}"]
+    return out + ([f"{broken_rows} rows of the sample do not have {len(want)} fields"] if broken_rows else [])
+
+
 def validate(data: DataFrame, registry: FeatureSet, manifest: dict | None = None) -> list[str]:
     """All errors of a data set, an empty list if it is sound."""
     errors = schema_errors(data.columns, registry)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import key_form
+from ..functions.names import BLANKS, key_form
 from ..operators import combine, rejects
+from .sqllines import line_ctes, told_cte
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -60,15 +61,37 @@ def p4_loaded(spark: SparkSession, d: str) -> DataFrame:
     return rejects.loaded_lines(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config"))
 
 
-def p4_file_report(spark: SparkSession, d: str) -> DataFrame:
-    """Lines of each kind in every list file."""
-    lines = rejects.classify_lines(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config"))
+def _line_kinds(lines: DataFrame) -> DataFrame:
     return lines.groupBy("file_id").agg(
         F.count("*").alias("raw_rows"), F.count_if(F.col("kind") == "valid").alias("valid_rows"),
         F.count_if(F.col("kind") == "invalid").alias("invalid_rows"), F.count_if(F.col("kind") == "blank").alias("blank_rows"),
     )
 
 
+def p4_file_report(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of each kind in every list file."""
+    return _line_kinds(rejects.classify_lines(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config")))
+
+
+# The same without IDNA, which SQL does not have: names other than ASCII hold invalid characters then.
+
+
+def p4_plain_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Failing lines with their reason, and the first broken field unless its quoting is what is broken."""
+    rows = rejects.rejected_lines(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config"), convert=False)
+    return rows.withColumn("broken_field", F.when(F.col("reason") != "broken_quoting", F.col("broken_field")))
+
+
+def p4_plain_loaded(spark: SparkSession, d: str) -> DataFrame:
+    """Names of the list-file lines that load."""
+    return rejects.loaded_lines(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config"), convert=False)
+
+
+def p4_plain_file_report(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of each kind in every list file."""
+    return _line_kinds(rejects.classify_lines(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config"), convert=False))
+
+
 _KEY = "nullif(lower(regexp_replace({0}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')), '')"
 
 
@@ -83,8 +106,18 @@ def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("p") and k[1].isdigit()}
 
 
+_STRIPPED = f"lower(trim({{0}}, '{BLANKS}'))"
+_PLAIN = f"CASE WHEN ends_with({_STRIPPED}, '.') THEN left({_STRIPPED}, -1) ELSE {_STRIPPED} END"
+_TOLD = f"WITH {line_ctes()}, {told_cte(_PLAIN)}"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p4_plain_rejects": f"""{_TOLD} SELECT file_id, line_no, reason, CASE WHEN row_reason IS NULL THEN name_index + 1 WHEN row_reason = 'column_count' THEN least(len(fields), columns + 1) END::INT AS broken_field
+            FROM told WHERE reason IS NOT NULL""",
+        "p4_plain_loaded": f"{_TOLD} SELECT file_id, line_no, x AS name FROM told WHERE line_kind = 'data' AND reason IS NULL",
+        "p4_plain_file_report": f"""{_TOLD} SELECT file_id, count(*) AS raw_rows, count(*) FILTER (line_kind = 'data' AND reason IS NULL) AS valid_rows,
+            count(*) FILTER (reason IS NOT NULL) AS invalid_rows, count(*) FILTER (line_kind = 'blank') AS blank_rows FROM told GROUP BY file_id""",
         "p2_found": _heavy_sql("domains", "algorithm_code") + " UNION ALL " + _heavy_sql("sample_records", "class_value"),
         "p2_code_stats": f"""
             SELECT {_KEY.format("algorithm_code")} AS key_value, count(*) AS n_rows, min(run_id) AS first_run, max(run_id) AS last_run,

@@ -12,9 +12,10 @@ from ..functions import names as nm
 from ..operators import balance, dedup, quota, rejects, sampling, space, stats, validate
 from ..session import materialize, scratch_path, spread
 from ..sinks import files
-from ..sources import lists
+from ..sources import generators, lists
 from ..streaming import store
 from .sqlfeatures import feature_ctes
+from .sqllines import line_ctes
 
 _QUERIES: dict[str, Callable] = {}
 _SQL: dict[str, str] = {}
@@ -100,6 +101,21 @@ def strict_reasons(spark: SparkSession, d: str) -> DataFrame:
     return a.groupBy("code", "reason").agg(F.count("*").alias("n"))
 
 
+_PLAIN_NAME = f"CASE WHEN ends_with(lower({_STRIP.format('domain')}), '.') THEN left(lower({_STRIP.format('domain')}), -1) ELSE lower({_STRIP.format('domain')}) END"
+
+
+@query(
+    f"""WITH n AS (SELECT {_KEY.format('algorithm_code')} AS code, domain, regexp_replace(lower({_STRIP.format('domain')}), '\\.+$', '') AS p, {_PLAIN_NAME} AS x FROM insert_attempts),
+    l AS (SELECT *, list_filter(list_transform(string_split(x, '.'), lambda l: CASE WHEN l = '' THEN 'empty_label' WHEN length(l) > 63 THEN 'label_too_long' WHEN NOT regexp_full_match(l, '[a-z0-9](?:[a-z0-9-]*[a-z0-9])?') THEN 'invalid_character' END), lambda r: r IS NOT NULL) AS bad FROM n)
+    SELECT code, CASE WHEN domain IS NULL THEN 'none' WHEN p = '' THEN 'empty' WHEN contains(p, '..') THEN 'double_dot' WHEN starts_with(p, '.') THEN 'empty_label' WHEN x = '' THEN 'empty' WHEN length(x) > 253 THEN 'too_long'
+      WHEN contains(x, '..') THEN 'double_dot' WHEN NOT contains(x, '.') THEN 'invalid_suffix' WHEN len(bad) > 0 THEN bad[1] WHEN NOT regexp_full_match(string_split(x, '.')[-1], '[a-z]{{2,63}}') THEN 'invalid_suffix' ELSE 'valid' END AS reason, count(*) AS n FROM l GROUP BY ALL"""
+)
+def plain_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """As ``strict_reasons``, names without IDNA."""
+    reason = F.coalesce(nm.precheck_reason("domain"), nm.strict_reason("domain", nm.strict_name("domain", convert=False)), F.lit("valid"))
+    return _t(spark, d, "insert_attempts").groupBy(nm.key_form("algorithm_code").alias("code"), reason.alias("reason")).agg(F.count("*").alias("n"))
+
+
 _PRE = "regexp_replace(lower(" + _STRIP.format("domain") + "), '\\.+$', '')"
 
 
@@ -195,7 +211,7 @@ def statuses(spark: SparkSession, d: str) -> DataFrame:
 def sanitized_names(spark: SparkSession, d: str) -> DataFrame:
     """Empty labels collapsed, with a flag."""
     a = _t(spark, d, "insert_attempts").where("domain is not null")
-    return a.select("attempt_id", F.array_join(F.filter(F.split("domain", r"\."), lambda x: x != ""), ".").alias("name"), F.contains("domain", F.lit("..")).alias("double_dot"))
+    return a.select("attempt_id", nm.sanitized("domain").alias("name"), F.contains("domain", F.lit("..")).alias("double_dot"))
 
 
 # -- sources -----------------------------------------------------------------------------------
@@ -212,26 +228,34 @@ def delimiters(spark: SparkSession, d: str) -> DataFrame:
     return lists.delimiter_scores(_t(spark, d, "raw_lines"))
 
 
-@query()
+@query(f"WITH {line_ctes()} SELECT file_id, delim, header_line, columns, column_missing FROM schemas")
 def file_schemas(spark: SparkSession, d: str) -> DataFrame:
     """Delimiter, header and width of each list file."""
     return rejects.file_schemas(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config")).select("file_id", "delim", "header_line", "columns", "column_missing")
 
 
-@query()
+@query(f"WITH {line_ctes()} SELECT file_id, count(*) AS physical_rows, count(*) - count(DISTINCT header_line) AS raw_rows FROM lines JOIN schemas USING (file_id) GROUP BY file_id")
 def raw_counts(spark: SparkSession, d: str) -> DataFrame:
     """Physical rows of each list file, and without its header."""
     lines = _t(spark, d, "raw_lines")
     return lists.raw_counts(lines, rejects.file_schemas(lines, _t(spark, d, "parse_config")))
 
 
-@query()
+_OFFERED = f"""{line_ctes()}, offered AS (SELECT file_id, line_no, name, CASE s WHEN 'lenient' THEN {_list_ok('name', nm.LIST_SUFFIX['lenient'])} WHEN 'strict' THEN {_list_ok('name', nm.LIST_SUFFIX['strict'])}
+  ELSE {_list_ok('name', nm.LIST_SUFFIX['balanced'])} END AS valid FROM (SELECT file_id, line_no, {_LIST.format('cell')} AS name FROM celled_ WHERE line_kind = 'data' AND (delim IS NULL OR NOT column_missing) AND cell IS NOT NULL)
+  LEFT JOIN (SELECT file_id, min(validation_strictness) AS s FROM parse_config GROUP BY file_id) USING (file_id) WHERE name <> '')"""
+
+
+@query(f"WITH {_OFFERED} SELECT file_id, line_no, name, valid FROM offered")
 def list_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Names that the list files offer, valid or not under their strictness."""
     return lists.list_candidates(_t(spark, d, "raw_lines"), _t(spark, d, "parse_config"))
 
 
-@query()
+@query(
+    f"""WITH {_OFFERED}, r AS (SELECT file_id, count(*) AS attempted, count(DISTINCT name) FILTER (valid) AS accepted, count(*) FILTER (NOT valid) AS rejected, count(*) FILTER (valid) - count(DISTINCT name) FILTER (valid) AS duplicates FROM offered GROUP BY file_id)
+    SELECT *, accepted * 100.0::DOUBLE / attempted AS acceptance_rate FROM r"""
+)
 def list_file_report(spark: SparkSession, d: str) -> DataFrame:
     """Accepted, rejected and repeated names of each list file."""
     return lists.file_report(list_candidates(spark, d))
@@ -375,7 +399,13 @@ def stride_walk(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "raw_lines").select("file_id", "line_no", sampling.stride_order(F.col("line_no") - 1, 104729, 5, step).alias("visit"))
 
 
-@query()
+@query(
+    f"""WITH f AS (SELECT file_id, max(line_no) AS n, {_U64.format("'42:' || file_id")}::HUGEINT AS seed FROM raw_lines GROUP BY file_id),
+    s AS (SELECT file_id, n, (seed % n)::BIGINT AS start, CASE WHEN n > 1 THEN (seed // n % (n - 1))::BIGINT ELSE 0 END AS base FROM f),
+    w AS (SELECT file_id, n, start, CASE WHEN n > 1 THEN (base + list_filter(range(n - 1), lambda k: gcd((base + k) % (n - 1) + 1, n) = 1)[1]) % (n - 1) + 1 ELSE 1 END AS step FROM s),
+    v AS (SELECT file_id, n, start, step, unnest(range(n)) AS visit FROM w)
+    SELECT l.file_id, l.line_no, visit FROM raw_lines l JOIN v ON l.file_id = v.file_id AND l.line_no - 1 = (start + visit * step) % n"""
+)
 def stride_walk_by_file(spark: SparkSession, d: str) -> DataFrame:
     """Order in which each file's own walk, start and step from the seed, visits each of its lines once."""
     lines = _t(spark, d, "raw_lines").select("file_id", "line_no")
@@ -384,6 +414,18 @@ def stride_walk_by_file(spark: SparkSession, d: str) -> DataFrame:
     return lines.join(walks, "file_id").select("file_id", "line_no", sampling.walk_turn(F.col("line_no") - 1).alias("visit"))
 
 
+@query("SELECT 1000 AS slots, 1000 AS numbered, true AS from_the_pool, true AS by_weight")
+def refill_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What holds of any refill: every slot once, rows of the pool only, and sources within five deviations of their weight."""
+    pool = materialize(_t(spark, d, "sample_records").where("label = 0").select(nm.key_form("class_value").alias("k"), "domain").where("k is not null").distinct(), "pool")
+    drawn = materialize(refilled(spark, d), "drawn")
+    stray = drawn.join(pool.select(F.col("k").alias("source"), F.col("domain").alias("name")), ["source", "name"], "left_anti").count()
+    shares = pool.groupBy(F.col("k").alias("source")).agg(F.count("*").alias("w")).join(drawn.groupBy("source").agg(F.count("*").alias("n")), "source", "left")
+    p = F.col("w") / pool.count()
+    off = shares.where(F.abs(F.coalesce("n", F.lit(0)) - 1000 * p) > 5 * F.sqrt(1000 * p * (1 - p)) + 1).count()
+    return drawn.agg(F.count("*").cast("int").alias("slots"), F.count_distinct("slot").cast("int").alias("numbered")).select("*", F.lit(stray == 0).alias("from_the_pool"), F.lit(off == 0).alias("by_weight"))
+
+
 @query()
 def refilled(spark: SparkSession, d: str) -> DataFrame:
     """1,000 draws with replacement from the classes, by their size."""
@@ -480,6 +522,20 @@ def selection_counts(spark: SparkSession, d: str) -> DataFrame:
     return balance.selection_counts(rows.where("label = 1"), rows.where("label = 0"), "domain", "class_value", "sample_id")
 
 
+@query(
+    f"""WITH {_BALANCED}, less AS (SELECT (SELECT count(*) FROM listed) < (SELECT count(*) FROM gen) AS reduced)
+    SELECT c.domain, CASE WHEN label = 1 THEN 0 ELSE 1 END AS part, CASE WHEN label = 1 AND reduced THEN class_value END AS code, CASE WHEN label = 1 AND reduced THEN sha256('42:' || class_value || ':' || c.domain) END AS hash,
+      CASE WHEN label = 1 AND reduced THEN 0 WHEN label = 1 THEN g.pos ELSE l.pos END AS pos FROM chosen c, less LEFT JOIN listed l ON l.domain = c.domain AND label = 0
+      LEFT JOIN (SELECT {_FINAL.format('domain')} AS domain, min(sample_id) AS pos FROM sample_records WHERE label = 1 GROUP BY 1) g ON g.domain = c.domain AND label = 1"""
+)
+def dataset_order(spark: SparkSession, d: str) -> DataFrame:
+    """By what the rows of the data set are ordered."""
+    rows = _t(spark, d, "sample_records").select("sample_id", "domain", "class_value", "label")
+    gen = materialize(balance.generated_names(rows.where("label = 1"), "domain", "class_value", "sample_id"), "generated")
+    listed = materialize(balance.listed_names(rows.where("label = 0"), "domain", "sample_id", gen), "listed")
+    return balance.balanced(gen, listed, ordered=True).select("domain", *[F.col(c).alias(c[:-1]) for c in balance.ORDER])
+
+
 @query(f"WITH {_BALANCED} SELECT split, label, count(*) AS n FROM (SELECT label, CASE WHEN u < 0.8::DOUBLE THEN 'train' WHEN u < 0.8::DOUBLE + 0.1::DOUBLE THEN 'validation' ELSE 'test' END AS split FROM (SELECT label, {_U64.format(chr(39) + '42:' + chr(39) + ' || domain')}::DOUBLE / 18446744073709551615::DOUBLE AS u FROM chosen)) GROUP BY ALL")
 def split_counts(spark: SparkSession, d: str) -> DataFrame:
     chosen = selected(spark, d)
@@ -591,19 +647,25 @@ def parameter_space(spark: SparkSession, d: str) -> DataFrame:
     s = F.col("slot")
     lo, hi = space.date_bounds("2024-01-01", "2024-06-30", "2024-01-31")
     day = space.date_axis(s, "daily_forward", "2024-01-31")
-    wrapped = F.date_add(lo, F.pmod(F.datediff(day, lo), F.datediff(hi, lo) + 1))
     digits = space.mixed_radix(s, {"digit0": 5, "digit1": 3, "digit2": 4})
     return space.slots(spark, 1000).select(
         "slot", space.seed_axis(s, "incremental", 100).alias("incremental"), space.seed_axis(s, "hashed_round_robin", code="code").alias("hashed"), day.alias("daily"),
         space.date_axis(s, "daily_window", "2024-01-31").alias("daily_window"), space.date_axis(s, "monthly_window", "2024-01-31").alias("monthly"),
-        space.bounded(day, lo, hi, "clamp").alias("clamped"), wrapped.alias("wrapped"), *[c.alias(n) for n, c in digits.items()], space.strided(s, 1000, 7, 3).alias("strided"),
+        space.bounded(day, lo, hi, "clamp").alias("clamped"), space.bounded(day, lo, hi, "wrap").alias("wrapped"), *[c.alias(n) for n, c in digits.items()], space.strided(s, 1000, 7, 3).alias("strided"),
     )
 
 
-@query()
+_H = "('0x' || substr(sha256('42:' || label || ':{0}'), 1, 16))::UBIGINT::HUGEINT"
+_CHANGED = "left({0}, ({1} % length(label))::INT) || substr('abcdefghijklmnopqrstuvwxyz', ({1} // 256 % 26)::INT + 1, 1) || substr({0}, ({1} % length(label))::INT + 2)"
+
+
+@query(
+    f"""WITH b AS (SELECT DISTINCT {_TWO}1) AS label FROM (SELECT {_BARE} AS x FROM raw_lines) WHERE length({_TWO}1)) >= 6), c AS (SELECT label, {_CHANGED.format('label', _H.format('change0'))} AS one FROM b)
+    SELECT label, label AS slot, {_CHANGED.format('one', _H.format('change1'))} || '.' || ['comx', 'netzo', 'orgo'][({_H.format('suffix')} % 3)::INT + 1] AS domain FROM c"""
+)
 def mutated_names(spark: SparkSession, d: str) -> DataFrame:
     """Listed labels with two letters changed, one a label."""
-    base = lists.base_labels(_t(spark, d, "raw_lines"), "raw_line", 6).select("label").distinct().withColumn("slot", F.xxhash64("label"))
+    base = lists.base_labels(_t(spark, d, "raw_lines"), "raw_line", 6).select("label").distinct().withColumn("slot", F.col("label"))
     return space.mutated(base, "label", "slot", ["comx", "netzo", "orgo"])
 
 
@@ -622,6 +684,17 @@ def month_arithmetic(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "orders").select("o_orderkey", space.clamped_month(day, 1).alias("month_later"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("iso"))
 
 
+@query(
+    """SELECT s AS slot, s AS seed, CASE WHEN s & 4294967295 = 0 THEN 1 ELSE s & 4294967295 END AS magic, (DATE '2024-01-01' + s::INT)::DATE AS "when", year(DATE '2024-01-01' + s::INT)::INT AS year, month(DATE '2024-01-01' + s::INT)::INT AS month,
+    s AS nr, s % 3 + 1 AS config_nr, 'v' || (s % 7 + 1) AS version, CASE WHEN s % 2 = 0 THEN 'sn' ELSE 'al' END AS prefix, ['com', 'net', 'org', 'biz', 'info', 'ru'] AS tlds, 'example' || (s % 1000) || '.com' AS domain, md5(s::VARCHAR) AS md5, s % 8 + 16 AS loops, 1 AS other
+    FROM (SELECT unnest(range(2000)) AS s)"""
+)
+def bound_parameters(spark: SparkSession, d: str) -> DataFrame:
+    """What parameters of generators are given by their names, at 2,000 requests."""
+    names = ("seed", "magic", "when", "year", "month", "nr", "config_nr", "version", "prefix", "tlds", "domain", "md5", "loops", "other")
+    return space.slots(spark, 2000).select("slot", *[generators.bound(n, F.col("slot"), "code").alias(n) for n in names])
+
+
 # -- sinks and streams -------------------------------------------------------------------------
 
 
@@ -675,6 +748,17 @@ def integrity(spark: SparkSession, d: str) -> DataFrame:
     return files.integrity_rows(_samples(spark, d), F.when(F.col("LABEL") == 1, "a").otherwise("b"))
 
 
+@query(
+    f"""SELECT name AS domain, algorithm_code, seq FROM (SELECT {_LIST.format('domain')} AS name, algorithm_code, attempt_id AS seq, row_number() OVER (PARTITION BY {_LIST.format('domain')} ORDER BY attempt_id) AS r
+    FROM insert_attempts) WHERE r = 1 AND name <> ''"""
+)
+def streamed_list_store(spark: SparkSession, d: str) -> DataFrame:
+    """As ``streamed_store``, names in the form of list files."""
+    rows, base = _t(spark, d, "insert_attempts"), scratch_path(spark, "stream")
+    form = lambda c: F.when(nm.list_name(c) != "", nm.list_name(c))
+    return store.insert_stream(spark, f"{d}/insert_attempts.parque[t]", rows.schema, f"{base}/store", f"{base}/checkpoint", "domain", "algorithm_code", "attempt_id", normal=form).select("domain", "algorithm_code", "seq")
+
+
 @query()
 def streamed_store(spark: SparkSession, d: str) -> DataFrame:
     """Attempts run through the store as a stream of micro-batches."""

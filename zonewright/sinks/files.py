@@ -5,27 +5,32 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
-from pathlib import Path
+import re
+from collections.abc import Iterator
+from datetime import UTC, datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import storage
 from ..functions.hashing import row_digest
 from ..functions.registry import FeatureSet
+from ..operators import cuts
+from ..session import materialize, ship_package
 
 #: Size estimate of a stored row: its name, 8 bytes a column, and 64 more, 128 at least.
 LEAST_ROW, ROW_EXTRA = 128, 64
 
 
-def refuse_existing(paths: list[str], overwrite: bool) -> None:
-    """Local outputs that exist are refused, or removed if they may be."""
-    there = [p for p in map(Path, paths) if p.exists()]
+def refuse_existing(spark: SparkSession, paths: list[str], overwrite: bool) -> None:
+    """Outputs that exist are refused, or removed if they may be."""
+    there = [p for p in paths if storage.exists(spark, p)]
     if there and not overwrite:
-        raise FileExistsError(f"exists: {', '.join(map(str, there))}")
+        raise FileExistsError(f"exists: {', '.join(there)}")
     for p in there:
-        if p.is_file():
-            p.unlink()
+        storage.delete(spark, p)
 
 
 def final_schema(registry: FeatureSet) -> T.StructType:
@@ -54,14 +59,15 @@ def part_numbers(data: DataFrame, order: str, name: str, part_bytes: int) -> Dat
     """``data`` with ``part``: which file each row belongs to if a file is closed before the row that
     would bring its estimated size to ``part_bytes``.
 
-    Sizes are cumulated over ranges of the order and parts cut by the cumulated size; the estimate
+    Rows are placed in ranges of about ``cuts.ROWS_PER_RANGE`` rows by sampled quantiles of the order, sizes are
+    cumulated over the ranges and parts cut by the cumulated size; the estimate
     of one row (tiny beside a part) is all by which a part may differ from closing row by row.
     """
     size = row_estimate(F.col(name), len(data.columns))
-    low, high = data.agg(F.min(order), F.max(order)).first()
-    width = max(((high or 0) - (low or 0)) // 4096 + 1, 1)
-    ranged = data.withColumn("range_", F.floor((F.col(order) - (low or 0)) / width)).withColumn("size_", size)
-    sums = ranged.groupBy("range_").agg(F.sum("size_").alias("s"))  # at most 4,097 rows
+    n = max(-(-data.count() // cuts.ROWS_PER_RANGE), 1)
+    ranged = data.repartitionByRange(n, order).withColumn("range_", F.spark_partition_id()).withColumn("size_", size)
+    ranged = materialize(ranged, "ranges")
+    sums = ranged.groupBy("range_").agg(F.sum("size_").alias("s"))  # one row a range
     all_before = Window.partitionBy(F.lit(0)).orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("range_", F.coalesce(F.sum("s").over(all_before), F.lit(0)).alias("offset_"))
     inside = F.sum("size_").over(Window.partitionBy("range_").orderBy(order))
@@ -71,8 +77,15 @@ def part_numbers(data: DataFrame, order: str, name: str, part_bytes: int) -> Dat
 
 
 def write_splits(data: DataFrame, path: str, split: str = "split", mode: str = "errorifexists") -> None:
-    """One directory a split, so that reading one prunes the others."""
-    data.write.partitionBy(split).mode(mode).parquet(path)
+    """One directory a split, so that reading one prunes the others. A task keeps the files of a few splits open
+    at once instead of sorting by split, so rows stay in their order."""
+    conf, key = data.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, "16")
+    try:
+        data.write.partitionBy(split).mode(mode).parquet(path)
+    finally:
+        conf.set(key, before)
 
 
 def write_csv(rows: DataFrame, path: str, order: str | None = None, mode: str = "errorifexists", null_text: str = "") -> None:
@@ -131,17 +144,66 @@ def arff_field_errors(spark: SparkSession, path: str, fields: int) -> int:
 # -- documents --------------------------------------------------------------------------------
 
 
-def file_digest(path: str) -> str:
-    h = hashlib.sha256()
-    with open(path, "rb") as f:
-        while block := f.read(1 << 20):
-            h.update(block)
-    return h.hexdigest()
+def _opened(path: str):
+    """A file of any file system that Arrow knows, as a stream."""
+    from pyarrow import fs
+
+    where, at = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+    return where.open_input_stream(at)
+
+
+def file_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path, length, sha256`` of files, each read in blocks by one task, however long it is."""
+    ship_package(spark)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for path in b["path"]:
+                h, n = hashlib.sha256(), 0
+                with _opened(path) as f:
+                    while block := f.read(1 << 20):
+                        h.update(block)
+                        n += len(block)
+                out.append((path, n, h.hexdigest()))
+            yield pd.DataFrame(out, columns=["path", "length", "sha256"])
+
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(len(paths), 1))
+    return listed.mapInPandas(run, "path string, length bigint, sha256 string")
+
+
+def part_columns(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path, columns`` of Parquet files, from their footers."""
+    ship_package(spark)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs, parquet
 
-def input_digests(spark: SparkSession, path: str) -> DataFrame:
-    """``path, length, sha256`` of every input file."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+        for b in batches:
+            out = []
+            for path in b["path"]:
+                where, at = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                out.append((path, parquet.read_schema(where.open_input_file(at)).names))
+            yield pd.DataFrame(out, columns=["path", "columns"])
+
+    return spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(len(paths), 1)).mapInPandas(run, "path string, columns array<string>")
+
+
+def part_report(stored: DataFrame) -> DataFrame:
+    """``path, size_bytes, rows, listed, generated`` of each file of a stored data set."""
+    named = stored.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size_bytes"), "LABEL")
+    return named.groupBy("path", "size_bytes").agg(F.count("*").alias("rows"), F.count_if(F.col("LABEL") == 0).alias("listed"), F.count_if(F.col("LABEL") == 1).alias("generated"))
+
+
+def utc_now() -> str:
+    return datetime.now(UTC).isoformat(timespec="seconds")
+
+
+def portable_path(path: str, anchor: str) -> str:
+    """A path relative to a folder that it lies below, else its last piece."""
+    bare = lambda p: re.sub("^file:/+", "/", p).rstrip("/")
+    at, root = bare(path), bare(anchor) + "/"
+    return at.removeprefix(root) if at.startswith(root) else at.rsplit("/", 1)[-1]
 
 
 def integrity_rows(data: DataFrame, split: Column) -> DataFrame:
@@ -156,30 +218,33 @@ def schema_description(registry: FeatureSet) -> dict:
     return {"fields": fields, "feature_count": len(registry)}
 
 
-def manifest(registry: FeatureSet, counts: dict, arguments: dict) -> dict:
+def manifest(registry: FeatureSet, counts: dict, arguments: dict, **more) -> dict:
     return {
-        "columns": ["DOMAIN", *registry.names, "CLASS", "LABEL"], "counts": counts, "arguments": arguments,
-        "feature_name_order_checksum": registry.name_checksum(), "feature_definition_checksum": registry.definition_checksum(),
+        "generated_at": utc_now(), "columns": ["DOMAIN", *registry.names, "CLASS", "LABEL"], "counts": counts, "arguments": arguments,
+        "feature_name_order_checksum": registry.name_checksum(), "feature_definition_checksum": registry.definition_checksum(), **more,
     }
 
 
-def write_json(document: dict, path: str) -> None:
+def write_json(spark: SparkSession, document: dict, path: str) -> None:
     """Sorted keys, replaced in one step."""
-    tmp = Path(f"{path}.tmp")
-    tmp.write_text(json.dumps(document, indent=2, sort_keys=True, default=str) + "\n")
-    tmp.replace(path)
+    storage.write_bytes(spark, path, (json.dumps(document, indent=2, sort_keys=True, default=str) + "\n").encode())
+
+
+def read_json(spark: SparkSession, path: str) -> dict:
+    return json.loads(storage.read_bytes(spark, path))
 
 
 def gzip_verified(path: str) -> str:
-    """Compress a file and read it back; the digest must be that of the original."""
-    out = f"{path}.gz"
+    """Compress a local file and read it back; the digest must be that of the original."""
+    out, original = f"{path}.gz", hashlib.sha256()
     with open(path, "rb") as src, gzip.open(out, "wb") as dst:
         while block := src.read(1 << 20):
+            original.update(block)
             dst.write(block)
     h = hashlib.sha256()
     with gzip.open(out, "rb") as f:
         while block := f.read(1 << 20):
             h.update(block)
-    if h.hexdigest() != file_digest(path):
+    if h.digest() != original.digest():
         raise OSError(f"{out} does not hold what {path} holds")
     return out

@@ -9,8 +9,8 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..operators import rejects
-from ..session import drop_path
 from . import lists
 
 SCHEMA = "path string, length bigint, modified bigint, signature string, physical_rows bigint, raw_rows bigint"
@@ -35,11 +35,6 @@ def _status(spark: SparkSession, path: str) -> tuple[int, int]:
     return s.getLen(), s.getModificationTime()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-
-
 def counted(spark: SparkSession, paths: list[str], reading: Reading, cache: str | None = None) -> DataFrame:
     """``path, length, modified, signature, physical_rows, raw_rows``, by path.
 
@@ -49,7 +44,7 @@ def counted(spark: SparkSession, paths: list[str], reading: Reading, cache: str
     sign = reading.signature()
     now = spark.createDataFrame([(p, *_status(spark, p), sign) for p in paths], "path string, length bigint, modified bigint, signature string")
     known = spark.createDataFrame([], SCHEMA)
-    if cache and _exists(spark, cache):
+    if cache and storage.exists(spark, cache):
         known = spark.read.schema(SCHEMA).parquet(cache)
     hits = now.join(known, ["path", "length", "modified", "signature"])
     todo = [r.path for r in now.join(known, ["path", "length", "modified", "signature"], "left_anti").orderBy("path").collect()]
@@ -64,9 +59,6 @@ def counted(spark: SparkSession, paths: list[str], reading: Reading, cache: str
         out = hits.unionByName(fresh)
         if cache:
             out.write.mode("overwrite").parquet(f"{cache}.new")
-            jvm = spark.sparkContext._jvm
-            fs = jvm.org.apache.hadoop.fs.Path(cache).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            drop_path(spark, cache)
-            fs.rename(jvm.org.apache.hadoop.fs.Path(f"{cache}.new"), jvm.org.apache.hadoop.fs.Path(cache))
+            storage.replace(spark, f"{cache}.new", cache)
             out = spark.read.schema(SCHEMA).parquet(cache).join(now, ["path", "length", "modified", "signature"], "left_semi")
     return out.orderBy("path")

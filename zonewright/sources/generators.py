@@ -9,7 +9,10 @@ from __future__ import annotations
 import ast
 import io
 import json
+import logging
 import subprocess
+import sys
+import time
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import redirect_stdout
 from dataclasses import dataclass, field
@@ -17,22 +20,35 @@ from itertools import islice
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions.names import strict_name, strict_reason
-from ..operators import dedup
+from ..operators import dedup, quota, space
 from ..operators.stats import DATE_PARAMETERS, FAMILIES, SEED_PARAMETERS
-from ..session import drop_path, ship_package, shuffle_partitions
+from ..session import Scope, materialize, ship_package, shuffle_partitions
 
 # Names by which an entry file and its function are recognised, in this order.
 ENTRY_FILES = ("dga.py", "main.py", "generator.py", "dgav2.py", "dgav3.py", "dga_a.py", "dga_b.py")
 ENTRY_FUNCTIONS = ("dga", "generate_domains", "get_domains", "create_domain", "next_domain")
+# What in a text, in lower case, tells a redirect (the words only beside a URL), and what in its literals a placeholder.
+REDIRECTS = ("moved to", "moved into", "implementation moved", "see ", "redirect", "use ")
+REDIRECT_WORDS = ("moved",)
+PLACEHOLDERS = ("placeholder", "todo", "stub", "not implemented", "coming soon")
+# Names of parameters by what they are given, and the lists that some go through.
+COUNTERS = ("nr", "n", "num", "count", "domain_nr", "sequence_nr", "day_index", "tld_index", "back", "number")
+LENGTHS = ("length", "loops")
+VERSIONS, PREFIXES, CONFIGS = ("v1", "v2", "v3", "v4", "v5", "v6", "v7"), ("sn", "al"), ("a", "b", "c")
+TLDS, WORDS = ("com", "net", "org", "biz", "info", "ru"), ("alpha", "beta", "gamma", "delta")
 #: Names taken from one call of an iterator, which may not end.
 MOST_OF_A_CALL = 4096
 # Fixed values, by falling yield: least share of new names in the last batch, part of a full batch to ask
 # for, least number of names to ask for.
 BATCH_STEPS = ((0.8, 1.0, 0), (0.3, 0.5, 500), (0.05, 0.1, 100), (0.0, 0.0, 50))
+#: Epochs in a row without a new name that a run of few sources goes through.
+LEAST_BARREN = 30
+LOG = logging.getLogger(__name__)
 EMITTED = "slot bigint, raw string, error string"
 
 
@@ -50,18 +66,46 @@ class Found:
     problem: str | None
 
 
-def _functions(path: Path) -> dict[str, ast.FunctionDef]:
+def _tree(text: str) -> list[ast.stmt] | None:
     try:
-        tree = ast.parse(path.read_text(encoding="utf-8", errors="replace"))
+        return ast.parse(text).body
     except (SyntaxError, ValueError):
-        return {}
-    return {n.name: n for n in tree.body if isinstance(n, ast.FunctionDef)}
+        return None
 
 
-def _is_empty(f: ast.FunctionDef) -> bool:
-    """Whether a function's body is only a docstring, ``pass``, ``...`` or a raise."""
-    body = [n for n in f.body if not (isinstance(n, ast.Expr) and isinstance(n.value, ast.Constant))]
-    return all(isinstance(n, (ast.Pass, ast.Raise)) for n in body)
+def _functions(path: Path) -> dict[str, ast.FunctionDef]:
+    body = _tree(path.read_text(encoding="utf-8", errors="replace")) or []
+    return {n.name: n for n in body if isinstance(n, ast.FunctionDef)}
+
+
+def _does_something(body: list[ast.stmt]) -> bool:
+    """Whether there is more than texts, ``pass``, ``...`` and raising that it is not implemented."""
+    idle = lambda n: (
+        isinstance(n, ast.Pass) or isinstance(n, ast.Expr) and isinstance(n.value, ast.Constant)
+        or isinstance(n, ast.Raise) and "NotImplementedError" in {getattr(x, "id", None) for x in ast.walk(n)}
+    )
+    return not all(map(idle, body))
+
+
+def fault_of(text: str, function: str | None) -> str | None:
+    """Why a file is no generator, None if it is one: it must parse, and the function, or else some function, class or
+    statement besides imports and assignments, must do something. What does not is a redirect or a placeholder if
+    its text says so, a stub if it has code and a missing implementation if it has none."""
+    body = _tree(text)
+    if body is None:
+        return "missing_implementation"
+    low = text.lower()
+    redirect = any(m in low for m in REDIRECTS) or "://" in low and any(m in low for m in REDIRECT_WORDS)
+    if not body:
+        return "unresolved_redirect" if redirect else "placeholder_module"
+    acts = {n.name for n in body if isinstance(n, (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)) and _does_something(n.body)}
+    passive = (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef, ast.Import, ast.ImportFrom, ast.Assign, ast.AnnAssign, ast.AugAssign)
+    loose = [n for n in body if not isinstance(n, passive)]
+    if function in acts if function else acts or _does_something(loose):
+        return None
+    literals = " ".join(n.value.lower() for n in ast.walk(ast.Module(body, [])) if isinstance(n, ast.Constant) and isinstance(n.value, str))
+    stub = any(m in literals for m in PLACEHOLDERS)
+    return "unresolved_redirect" if redirect else "invalid_stub" if stub else "missing_implementation"
 
 
 def category_of(code: str, parameters: Sequence[str]) -> str | None:
@@ -84,7 +128,7 @@ def inspect_directory(path: Path) -> Found:
     every = [a.arg for a in (*args.posonlyargs, *args.args)] if args else []
     with_default = every[len(every) - len(args.defaults) :] if args else []
     required = [a for a in every if a not in with_default]
-    problem = "no Python file" if not sources else "no function" if not name else "empty function" if _is_empty(functions[name]) else None
+    problem = "missing_implementation" if not sources else fault_of(sources[entry].read_text(encoding="utf-8", errors="replace"), name)
     return Found(path.name, str(path), entry, name, tuple(required), tuple(with_default), category_of(path.name, every), problem)
 
 
@@ -200,6 +244,111 @@ def batch_size(full: int, last_yield: float | None, remaining: int) -> int:
     return min(max(int(full * share), least), full, max(remaining, 0))
 
 
+# -- parameters ------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Axes:
+    """How the seed and the date of a request follow from its slot."""
+
+    seed: str = "sequential"
+    date: str = "daily_forward"
+    base_seed: int = 0
+    base_date: str = "2024-01-01"
+    first_date: str = "2018-01-01"
+    last_date: str = "2030-12-31"
+    policy: str = "clamp"
+
+    def seed_of(self, slot: Column, code: str) -> Column:
+        return space.seed_axis(slot, self.seed, self.base_seed, code)
+
+    def date_of(self, slot: Column) -> Column:
+        return space.bounded(space.date_axis(slot, self.date, self.base_date), *space.date_bounds(self.first_date, self.last_date, self.base_date), self.policy)
+
+
+def bound(parameter: str, slot: Column, code: str, axes: Axes = Axes()) -> Column:  # noqa: B008
+    """What a parameter of this name is given at a slot; 1 if its name says nothing."""
+    n, seed, day = parameter.lower(), axes.seed_of(slot, code), axes.date_of(slot)
+    turn = lambda values: F.get(F.array(*map(F.lit, values)), F.pmod(slot, F.lit(len(values))).cast("int"))
+    low = seed.bitwiseAND(0xFFFFFFFF)
+    known = {
+        "seed": seed, "magic": F.when(low == 0, 1).otherwise(low), "year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day),
+        "config_nr": F.pmod(slot, F.lit(3)) + 1, "version": turn(VERSIONS), "prefix": turn(PREFIXES), "config": turn(CONFIGS),
+        "tlds": F.array(*map(F.lit, TLDS)), "wordlist": F.array(*map(F.lit, WORDS)),
+        "domain": F.format_string("example%d.com", F.pmod(slot, F.lit(1000))), "md5": F.md5(slot.cast("string")),
+    }
+    known |= dict.fromkeys(COUNTERS, slot) | dict.fromkeys(DATE_PARAMETERS, day) | dict.fromkeys(LENGTHS, F.pmod(slot, F.lit(8)) + 16)
+    return known.get(n, F.lit(1))
+
+
+class FromText:
+    """A function of a source text, made in the worker that first calls it."""
+
+    def __init__(self, text: str, function: str):
+        self.text, self.function, self._made = text, function, None
+
+    def __getstate__(self) -> dict:
+        return {"text": self.text, "function": self.function, "_made": None}
+
+    def __call__(self, **arguments):
+        if self._made is None:
+            space_: dict = {"__name__": "generator"}
+            exec(compile(self.text, self.function, "exec"), space_)  # noqa: S102  trusted code, see the top
+            self._made = space_[self.function]
+        return self._made(**arguments)
+
+
+def source_of(found: Found, cap: int, axes: Axes = Axes()) -> Source:  # noqa: B008
+    """A source that calls a generator's function with its parameters bound by name; a generator without a function
+    is run as a program, with the slot as its argument."""
+    path = Path(found.path) / found.entry
+    if found.function is None:
+        return Source(found.code, lambda slots: emit_commands(slots, [sys.executable, str(path)], ["slot"], directory=found.path), cap)
+    call, names = FromText(path.read_text(encoding="utf-8", errors="replace"), found.function), list(found.parameters)
+
+    def make(slots: DataFrame) -> DataFrame:
+        given = slots.select("slot", *[bound(n, F.col("slot"), found.code, axes).alias(f"in_{i}") for i, n in enumerate(names)])
+        renamed = dict(zip([f"in_{i}" for i in range(len(names))], names, strict=True))
+        return emit(given, lambda **a: call(**{renamed[k]: v for k, v in a.items()}), list(renamed))
+
+    return Source(found.code, make, cap)
+
+
+def unique_share(made: DataFrame) -> float:
+    """Of the names that a sample of slots gave, the share of different ones; 0 without names."""
+    n, different = made.where("raw IS NOT NULL").agg(F.count("raw"), F.count_distinct("raw")).first()
+    return different / n if n else 0.0
+
+
+# -- runs ------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Planned:
+    """A source in a plan: its cap, or why it is left out."""
+
+    code: str
+    cap: int
+    status: str
+    category: str | None = None
+    found: Found | None = None
+
+    def told(self) -> dict:
+        return {"code": self.code, "cap": self.cap, "status": self.status, "category": self.category}
+
+
+def plan_run(found: Sequence[Found], target: int, cap: int, ordered: Sequence[str] = ()) -> list[Planned]:
+    """The target evenly over categories and their sound generators, each up to the cap. In an order that is
+    given, each of its codes has the cap, those without a generator are ``missing``, and the others ``ignored``."""
+    by_code = {f.code.lower(): f for f in found}
+    if ordered:
+        out = [Planned(c, cap if by_code[c].problem is None else 0, by_code[c].problem or "usable", by_code[c].category, by_code[c]) if c in by_code else Planned(c, 0, "missing") for c in ordered]
+        return out + [Planned(f.code, 0, "ignored", f.category) for c, f in by_code.items() if c not in ordered]
+    sound = [f for f in found if f.problem is None]
+    quotas = quota.plan_evenly([(f.code, f.category, cap) for f in sound], target) if sound else {}
+    return [Planned(f.code, quotas.get(f.code, 0), f.problem or "usable", f.category, f if f.problem is None else None) for f in found]
+
+
 @dataclass
 class Source:
     """A generator of a run: ``make(slots)`` gives ``slot, raw[, error]`` for rows of slots."""
@@ -211,45 +360,55 @@ class Source:
     held: int = 0
     last_yield: float | None = None
     idle: int = 0
+    width: int = 1
+    broken: int = 0
+    emitted: int = 0
     reasons: dict = field(default_factory=dict)
 
+    def state(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k not in ("code", "make", "cap")}
+
 
 class Run:
     """Fill a store from several sources, each up to its cap, in turns or strictly in order.
 
     An epoch asks one source for a batch, validates it, and appends what the store does not hold
-    under ``epoch=<n>``. The state (cursors, counts, last yields) is written after each epoch in
+    under ``epoch=<n>``. While a source gives mostly new names its batches double, so that the store is probed
+    some ten times a source and not once every ``full_batch`` names. The state (cursors, counts, last yields) is written after each epoch in
     one step; a run with the same store goes on from it, and an epoch that was cut off is written
-    again over its remains. A source ends at its cap or after ``patience`` batches without a new name.
+    again over its remains. A source ends at its cap, after ``patience`` batches without a new name, or after ``max_errors``
+    batches of nothing but errors; the run ends when all have, when its target is reached, or when too many epochs in a
+    row brought nothing.
     """
 
-    def __init__(self, spark: SparkSession, store: str, sources: Sequence[Source], full_batch: int = 5000, patience: int = 4, ordered: bool = False):
+    def __init__(
+        self, spark: SparkSession, store: str, sources: Sequence[Source], full_batch: int = 5000, patience: int = 4, ordered: bool = False,
+        max_errors: int = 5, heartbeat: float = 15.0,
+    ):
         self.spark, self.store, self.sources = spark, store, list(sources)
         self.full_batch, self.patience, self.ordered, self.epoch = full_batch, patience, ordered, 0
+        self.max_errors, self.heartbeat, self._told, self.barren = max_errors, heartbeat, 0.0, 0
         self._load()
 
     def _state_path(self, epoch: int) -> str:
-        return f"{self.store}/state/epoch={epoch}"
+        return f"{self.store}/state/epoch={epoch}.json"
 
     def _load(self) -> None:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.store}/state")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        done = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if fs.exists(s.getPath().suffix("/_SUCCESS"))] if fs.exists(path) else []
+        done = [int(n.removeprefix("epoch=").removesuffix(".json")) for n in storage.names_in(self.spark, f"{self.store}/state") if n.endswith(".json")]
         if not done:
             return
-        state = json.loads(self.spark.read.text(self._state_path(max(done))).first()[0])
+        state = json.loads(storage.read_bytes(self.spark, self._state_path(max(done))))
         if state["ordered"] != self.ordered or state["codes"] != [s.code for s in self.sources] or state["caps"] != [s.cap for s in self.sources]:
             raise ValueError("the store belongs to a run with other sources, caps or order")
-        self.epoch = state["epoch"]
+        self.epoch, self.barren = state["epoch"], state["barren"]
         for s, saved in zip(self.sources, state["sources"], strict=True):
-            s.cursor, s.held, s.last_yield, s.idle, s.reasons = saved["cursor"], saved["held"], saved["last_yield"], saved["idle"], saved["reasons"]
+            vars(s).update(saved)
 
     def _save(self) -> None:
-        rows = [{"cursor": s.cursor, "held": s.held, "last_yield": s.last_yield, "idle": s.idle, "reasons": s.reasons} for s in self.sources]
-        text = json.dumps({"epoch": self.epoch, "ordered": self.ordered, "codes": [s.code for s in self.sources], "caps": [s.cap for s in self.sources], "sources": rows})
-        self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(self._state_path(self.epoch))
+        told = {"epoch": self.epoch, "barren": self.barren, "ordered": self.ordered, "codes": [s.code for s in self.sources], "caps": [s.cap for s in self.sources], "sources": [s.state() for s in self.sources]}
+        storage.write_bytes(self.spark, self._state_path(self.epoch), json.dumps(told).encode())
         if self.epoch > 2:
-            drop_path(self.spark, self._state_path(self.epoch - 2))
+            storage.delete(self.spark, self._state_path(self.epoch - 2))
 
     def names(self) -> DataFrame:
         """``domain, algorithm_code, seq, epoch`` of the store."""
@@ -258,36 +417,78 @@ class Run:
         return self.spark.read.schema("domain string, algorithm_code string, seq bigint, epoch bigint").parquet(f"{self.store}/names").where(F.col("epoch") <= self.epoch)
 
     def _open(self, s: Source) -> bool:
-        return s.held < s.cap and s.idle < self.patience
+        return s.held < s.cap and s.idle < self.patience and s.broken < self.max_errors
 
     def _step(self, s: Source) -> None:
-        n = batch_size(self.full_batch, s.last_yield, s.cap - s.held)
+        n = min(batch_size(self.full_batch, s.last_yield, s.cap - s.held) * s.width, max(s.cap - s.held, 1))
         slots = self.spark.range(s.cursor, s.cursor + n, 1, min(shuffle_partitions(self.spark), max(n // 100, 1))).withColumnRenamed("id", "slot")
-        made = s.make(slots).select("slot", "raw")
-        checked = made.select("slot", strict_name("raw").alias("domain"), strict_reason("raw").alias("reason"))
+        made = s.make(slots)
+        error = F.col("error") if "error" in made.columns else F.lit(None).cast("string")
+        reason = F.when(F.col("raw").isNull() & error.isNotNull(), "error").otherwise(strict_reason("raw"))
         path = f"{self.store}/batch"
-        checked.write.mode("overwrite").parquet(path)
-        batch = self.spark.read.schema(checked.schema).parquet(path)
-        held = self.names()
-        fresh = dedup.insert_or_ignore(held, batch.where("reason IS NULL").select("domain", "slot"), "domain", "slot")
-        kept = fresh.orderBy("slot", "domain").limit(s.cap - s.held)  # at most one batch
-        out = kept.select("domain", F.lit(s.code).alias("algorithm_code"), F.col("slot").alias("seq"))
+        made.select("slot", strict_name("raw").alias("domain"), reason.alias("reason")).write.mode("overwrite").parquet(path)
+        batch = self.spark.read.schema("slot bigint, domain string, reason string").parquet(path)
+        fresh = materialize(dedup.insert_or_ignore(self.names(), batch.where("reason IS NULL").select("domain", "slot"), "domain", "slot"), "fresh")
+        new, room = fresh.count(), s.cap - s.held
+        if new > room:
+            fresh = fresh.orderBy("slot", "domain").limit(room)  # at most the rest of a cap, in the last batch of a source
         self.epoch += 1
-        out.write.mode("overwrite").parquet(f"{self.store}/names/epoch={self.epoch}")
-        got = self.names().where(F.col("epoch") == self.epoch).count()
-        for r in batch.where("reason IS NOT NULL").groupBy("reason").count().collect():
-            s.reasons[r["reason"]] = s.reasons.get(r["reason"], 0) + r["count"]
-        total = batch.count()
-        s.cursor, s.held = s.cursor + n, s.held + got
+        fresh.select("domain", F.lit(s.code).alias("algorithm_code"), F.col("slot").alias("seq")).write.mode("overwrite").parquet(f"{self.store}/names/epoch={self.epoch}")
+        told = {r["reason"]: r["count"] for r in batch.groupBy("reason").count().collect()}
+        total, got = sum(told.values()), min(new, room)
+        for reason, count in told.items():
+            if reason is not None:
+                s.reasons[reason] = s.reasons.get(reason, 0) + count
+        s.cursor, s.held, s.emitted = s.cursor + n, s.held + got, s.emitted + total - told.get("error", 0)
         s.last_yield, s.idle = (got / total if total else 0.0), (0 if got else s.idle + 1)
+        s.broken = s.broken + 1 if total and told.get("error", 0) == total else 0
+        s.width = s.width * 2 if s.last_yield >= BATCH_STEPS[0][0] else 1
+        self.barren = 0 if got else self.barren + 1
         self._save()
 
-    def run(self, epochs: int | None = None) -> dict[str, int]:
-        """Names held of each source when all have ended, or after so many epochs."""
+    def _beat(self) -> None:
+        if time.monotonic() - self._told >= self.heartbeat:
+            self._told = time.monotonic()
+            LOG.info("epoch %d: %s", self.epoch, {s.code: s.held for s in self.sources})
+
+    def run(self, epochs: int | None = None, target: int | None = None) -> dict[str, int]:
+        """Names held of each source when all have ended or the target is reached, or after so many epochs."""
         left = epochs if epochs is not None else 10**9
-        while left > 0 and (todo := [s for s in self.sources if self._open(s)]):
-            for s in todo[:1] if self.ordered else todo:
-                if left > 0:
-                    self._step(s)
-                    left -= 1
+        held = lambda: sum(s.held for s in self.sources)
+        with Scope(self.spark):
+            while left > 0 and (todo := [s for s in self.sources if self._open(s)]) and self.barren <= max(3 * len(self.sources), LEAST_BARREN):
+                for s in todo[:1] if self.ordered else todo:
+                    if left > 0 and (target is None or held() < target):
+                        self._step(s)
+                        self._beat()
+                        left -= 1
+                if target is not None and held() >= target:
+                    break
         return {s.code: s.held for s in self.sources}
+
+    def stop_reason(self, s: Source) -> str | None:
+        """Why a source ended, None if it may go on."""
+        if s.held >= s.cap:
+            return "cap_reached"
+        if s.broken >= self.max_errors:
+            return "errors"
+        if s.idle >= self.patience:
+            return "exhausted" if s.held else "no_output"
+        return None
+
+    def errors(self) -> list[str]:
+        """What does not hold of the store: its names are the sum of the sources', each within its cap, none twice."""
+        per = {r.algorithm_code: r["count"] for r in self.names().groupBy("algorithm_code").count().collect()}
+        out = [f"{s.code} holds {per.get(s.code, 0)} names, {s.held} were counted, {s.cap} is its cap" for s in self.sources if per.get(s.code, 0) != s.held or s.held > s.cap]
+        twice = self.names().groupBy("domain").count().where("count > 1").count()
+        return out + ([f"{twice} names are held twice"] if twice else [])
+
+    def report(self, plan: Sequence[Planned] = (), target: int | None = None) -> dict:
+        """Held, emitted and refused names of every source of a plan, in its order, with why it ended."""
+        ran = {s.code: s for s in self.sources}
+        rows = []
+        for i, p in enumerate(plan or [Planned(s.code, s.cap, "usable") for s in self.sources]):
+            s = ran.get(p.found.code if p.found else p.code)
+            more = {"held": s.held, "emitted": s.emitted, "refused": s.reasons, "stopped": self.stop_reason(s)} if s else {"held": 0, "stopped": "missing" if p.status == "missing" else p.status}
+            rows.append({"order": i} | p.told() | more)
+        return {"held": sum(s.held for s in self.sources), "target": target, "epochs": self.epoch, "sources": rows}

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions.names import header_form, list_name, list_valid
 from ..operators import rejects
+from ..session import materialize
 
 # Kinds of list files, spellings of the code column.
 SUFFIXES = (".txt", ".csv")
@@ -28,24 +30,47 @@ def discover(spark: SparkSession, directory: str) -> list[str]:
     return sorted(found)
 
 
-def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``file_id, path, line_no, raw_line`` of the files, in the order of ``paths`` from 0.
+def resolve_input(spark: SparkSession, path: str) -> str:
+    """The path, or that with its name in the singular or plural instead, if only that is there."""
+    folder, _, name = path.rpartition("/")
+    stem, dot, kind = name.rpartition(".") if "." in name else (name, "", "")
+    other = f"{stem.removesuffix('s') if stem.endswith('s') else stem + 's'}{dot}{kind}"
+    for candidate in (path, f"{folder}/{other}" if folder else other):
+        if storage.exists(spark, candidate):
+            return candidate
+    raise FileNotFoundError(f"no input {path}")
+
+
+def files_of(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the visible files of a folder by name."""
+    if storage.is_file(spark, path):
+        return [path]
+    return [storage.join(path, n) for n in storage.names_in(spark, path) if n[0] not in "._"]
+
+
+def in_file_order(raw: DataFrame, by_file: bool = False) -> DataFrame:
+    """Rows just read from files, with ``path`` and ``pos``: their place from 0 in all files by path, or
+    in their own file.
 
-    A file is read in blocks by many tasks. Lines are numbered in their block (a window bounded by
-    ``spark.sql.files.maxPartitionBytes``), and blocks by the lines in front of them.
+    A file is read in blocks by many tasks, a block's rows in a row. So a row's place is that of its block, from the
+    rows counted in front of it, and its distance from the block's first row. The window holds one row a block.
     """
-    raw = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"), F.col("value").alias("raw_line"),
-    )
-    inside = raw.withColumn("at", F.row_number().over(Window.partitionBy("path", "block").orderBy("seq")))
-    sizes = raw.groupBy("path", "block").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("path", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    marked = raw.select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block_"), F.monotonically_increasing_id().alias("seq_"))
+    blocks = marked.groupBy("path", "block_").agg(F.min("seq_").alias("first_"), F.count("*").alias("n_"))
+    over = Window.partitionBy("path").orderBy("block_") if by_file else Window.partitionBy(F.lit(0)).orderBy("path", "block_")
+    before = F.coalesce(F.sum("n_").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # written, so that its size is known: while it is below Spark's threshold it is broadcast, and the rows stay where they are
+    starts = materialize(blocks.select("path", "block_", (before - F.col("first_")).alias("start_")), "blocks")
+    return marked.join(starts, ["path", "block_"]).select(*raw.columns, "path", (F.col("start_") + F.col("seq_")).alias("pos"))
+
+
+def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``file_id, path, line_no, raw_line`` of the files, in the order of ``paths`` from 0."""
+    raw = in_file_order(spark.read.text(paths), by_file=True)
     ids = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "file_id bigint, wanted string")
-    named = inside.join(offsets, ["path", "block"])
     tail = lambda c: F.regexp_replace(F.url_decode(F.regexp_replace(c, "[+]", "%2B")), "^file:/+", "/")
-    return named.join(ids, tail(F.col("path")) == tail(F.regexp_replace("wanted", "%", "%25"))).select("file_id", F.col("wanted").alias("path"), (F.col("offset") + F.col("at")).cast("bigint").alias("line_no"), "raw_line")
+    named = raw.join(ids, tail(F.col("path")) == tail(F.regexp_replace("wanted", "%", "%25")))
+    return named.select("file_id", F.col("wanted").alias("path"), (F.col("pos") + 1).alias("line_no"), F.col("value").alias("raw_line"))
 
 
 def raw_counts(lines: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -98,10 +123,10 @@ def code_column(columns: list[str]) -> str | None:
 
 
 def read_pairs(spark: SparkSession, path: str, code: bool) -> DataFrame:
-    """``pos, domain[, code]`` of a CSV of names, with or without header; header-like rows of a file
-    without header are skipped wherever they stand."""
-    raw = spark.read.option("header", False).option("encoding", "UTF-8").csv(path).withColumn("pos", F.monotonically_increasing_id())
-    cols = [c for c in raw.columns if c != "pos"]
+    """``pos, domain[, code]`` of a CSV of names, one file or a folder of them, with or without header; ``pos`` goes
+    through the files by name. Header-like rows of a file without header are skipped wherever they stand."""
+    plain = spark.read.option("header", False).option("encoding", "UTF-8").csv(path)
+    raw, cols = in_file_order(plain), plain.columns
     first = raw.orderBy("pos").limit(1).collect()
     head = [str(first[0][c] or "") for c in cols] if first else []
     named, coded = name_column(head), code_column(head)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import storage
 from ..functions.names import name_key
 from ..operators import dedup
 
 STORE = "domain string, algorithm_code string, seq bigint, epoch bigint"
 
 
-def insert_stream(spark: SparkSession, source: str, schema: T.StructType, store: str, checkpoint: str, name: str, code: str, order: str, files_per_batch: int = 1) -> DataFrame:
+def insert_stream(spark: SparkSession, source: str, schema: T.StructType, store: str, checkpoint: str, name: str, code: str, order: str, files_per_batch: int = 1, normal: Callable[..., Column] = name_key) -> DataFrame:
     """Run all files of ``source`` through insert-or-ignore and return the store.
 
     Each micro-batch writes its new names under ``epoch=<id>``, overwriting what a failed attempt at
@@ -23,7 +26,7 @@ def insert_stream(spark: SparkSession, source: str, schema: T.StructType, store:
 
     def absorb(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
-        rows = batch.select(name_key(name).alias("domain"), F.col(code).alias("algorithm_code"), F.col(order).cast("bigint").alias("seq"))
+        rows = batch.select(normal(F.col(name)).alias("domain"), F.col(code).alias("algorithm_code"), F.col(order).cast("bigint").alias("seq"))
         fresh = dedup.insert_or_ignore(read_store(session, store, before=epoch), rows, "domain", "seq")
         fresh.write.mode("overwrite").parquet(f"{store}/epoch={epoch}")
 
@@ -34,10 +37,7 @@ def insert_stream(spark: SparkSession, source: str, schema: T.StructType, store:
 
 def read_store(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
     """Accepted names, of the epochs in front of one if given; none if there is no store yet."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(store)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(where):
+    if not storage.exists(spark, store):
         return spark.createDataFrame([], STORE)
     rows = spark.read.schema(STORE).parquet(store)
     return rows if before is None else rows.where(F.col("epoch") < before)
