@@ -14,7 +14,7 @@ from ..session import materialize, scratch_path, spread
 from ..sinks import files
 from ..sources import generators, lists
 from ..streaming import store
-from .sqlfeatures import feature_ctes
+from .sqlfeatures import catalogue_names, feature_ctes
 from .sqllines import line_ctes
 
 _QUERIES: dict[str, Callable] = {}
@@ -455,6 +455,14 @@ def features145(spark: SparkSession, d: str) -> DataFrame:
     return registry.with_features(rows, "domain", registry.catalogue())
 
 
+@query(f"WITH src AS (SELECT sample_id AS id, domain FROM sample_records), {feature_ctes('src', DIGITS, catalogue_names())} SELECT * RENAME (id AS sample_id) FROM featured")
+def features_all(spark: SparkSession, d: str) -> DataFrame:
+    """The whole feature catalogue for every sampled name."""
+    rows = spread(_t(spark, d, "sample_records").select("sample_id", "domain"))
+    made = registry.with_features(rows, "domain", registry.catalogue()).drop("domain")
+    return made.select("sample_id", *[_r(F.col(c)).alias(c) for c in made.columns[1:]])
+
+
 @query("SELECT sample_id, (length(regexp_replace(domain, '[^a]', '', 'g')) ** 2)::DOUBLE AS \"A_SQUARED\" FROM sample_records")
 def custom_feature(spark: SparkSession, d: str) -> DataFrame:
     """A registered feature of one's own."""
