@@ -259,9 +259,11 @@ def p7_char_report(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_char_mixture(spark: SparkSession, d: str) -> DataFrame:
     """Documents and characters that each source gave, against its budget, and the most copies of a document."""
-    drawn, report = mixing.mix(_chars(spark, d), _t(spark, d, "mix_targets"))
-    got = drawn.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("drawn"), F.max("copies").alias("most"), F.max("tokens").alias("longest"))
-    rows = report.join(got, "source", "left")
+    docs = _chars(spark, d)
+    drawn, report = mixing.mix(docs, _t(spark, d, "mix_targets"))
+    got = drawn.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("drawn"), F.max("copies").alias("most"))
+    longest = docs.groupBy(key_form("source").alias("key")).agg(F.max("tokens").alias("longest"))
+    rows = report.join(got, "source", "left").withColumn("key", key_form("source")).join(longest, "key", "left")
     least = F.least("budget_tokens", F.col("max_repeats") * F.col("stock_tokens"))
     return rows.select(
         "source", (F.coalesce("drawn", F.lit(0)) == F.col("drawn_tokens")).alias("told"), (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("within_cap"),
