@@ -534,7 +534,7 @@ def selection_counts(spark: SparkSession, d: str) -> DataFrame:
     f"""WITH {_BALANCED}, less AS (SELECT (SELECT count(*) FROM listed) < (SELECT count(*) FROM gen) AS reduced)
     SELECT c.domain, CASE WHEN label = 1 THEN 0 ELSE 1 END AS part, CASE WHEN label = 1 AND reduced THEN class_value END AS code, CASE WHEN label = 1 AND reduced THEN sha256('42:' || class_value || ':' || c.domain) END AS hash,
       CASE WHEN label = 1 AND reduced THEN 0 WHEN label = 1 THEN g.pos ELSE l.pos END AS pos FROM chosen c, less LEFT JOIN listed l ON l.domain = c.domain AND label = 0
-      LEFT JOIN (SELECT {_FINAL.format('domain')} AS domain, min(sample_id) AS pos FROM sample_records WHERE label = 1 GROUP BY 1) g ON g.domain = c.domain AND label = 1"""
+      LEFT JOIN (SELECT {_FINAL.format('domain')} AS domain, min(sample_id) AS pos FROM sample_records WHERE label = 1 AND {_KEY.format('class_value')} IS NOT NULL GROUP BY 1) g ON g.domain = c.domain AND label = 1"""
 )
 def dataset_order(spark: SparkSession, d: str) -> DataFrame:
     """By what the rows of the data set are ordered."""
