@@ -108,8 +108,12 @@ def file_schemas(raw_lines: DataFrame, parse_config: DataFrame) -> DataFrame:
         F.min_by(F.struct("delimiter", "domain_column", "header_auto_detect"), F.coalesce("domain_column", F.lit(""))).alias("c")
     ).select("file_id", "c.*")
     counts = [F.sum(F.when(~F.col("blank") & (F.col("line_no") <= SNIFF_LINES), F.length("line") - F.length(F.replace("line", F.lit(x), F.lit("")))).otherwise(0)).alias(f"n{i}") for i, x in enumerate(DELIMITERS)]
-    first = F.min(F.when(~F.col("blank"), F.struct("line_no", "line"))).alias("first")
-    seen = lines.groupBy("file_id").agg(*counts, first).join(config, "file_id", "left")
+    # numbers only, so that a hash table holds them; the text of the first lines is fetched afterwards
+    first = F.min(F.when(~F.col("blank"), F.col("line_no"))).alias("first_no")
+    seen = materialize(lines.groupBy("file_id").agg(*counts, first), "counted")
+    heads = lines.join(seen.select("file_id", F.col("first_no").alias("line_no")), ["file_id", "line_no"]).groupBy("file_id", "line_no").agg(F.min("line").alias("line"))
+    heads = heads.select("file_id", F.struct("line_no", "line").alias("first"))
+    seen = seen.join(heads, "file_id", "left").join(config, "file_id", "left")
     best = F.greatest(*[F.col(f"n{i}") for i in range(len(DELIMITERS))])
     detected = F.when(best > 0, F.coalesce(*[F.when(F.col(f"n{i}") == best, F.lit(x)) for i, x in enumerate(DELIMITERS)]))
     delim = F.coalesce(F.when(F.col("delimiter") != "", F.col("delimiter")), detected)
