@@ -53,6 +53,14 @@ def test_commands(spark):
     assert {r.error for r in g.emit_commands(slots.limit(1), [sys.executable, "-c", "import time; time.sleep(60)"], ["slot"], seconds=1).collect()} == {"timeout"}
 
 
+def test_batches_of_commands_are_bounded(spark):
+    slots = spark.range(0, 6, 1, 1).withColumnRenamed("id", "slot")
+    told = [r.error for r in g.emit_commands(slots, [sys.executable, "-c", "print('a.com')"], ["slot"], batch_calls=4).collect()]
+    assert told == [None] * 4 + ["not called"] * 2
+    told = [r.error for r in g.emit_commands(slots, [sys.executable, "-c", "import time; time.sleep(60)"], ["slot"], batch_seconds=1).collect()]
+    assert told == ["timeout"] + ["not called"] * 5
+
+
 def test_table_function(spark):
     g.table_function(spark, "emit_names", lambda slot: [f"a{slot}.com", f"b{slot}.com"])
     rows = spark.sql("SELECT id, raw FROM range(2), LATERAL emit_names(id)").collect()

@@ -197,24 +197,31 @@ def emit(slots: DataFrame, call: Callable, arguments: Sequence[str]) -> DataFram
     return slots.select("slot", *[n for n in names if n != "slot"]).mapInPandas(run, EMITTED)
 
 
-def emit_commands(slots: DataFrame, command: Sequence[str], arguments: Sequence[str], seconds: float = 10, directory: str | None = None) -> DataFrame:
+def emit_commands(
+    slots: DataFrame, command: Sequence[str], arguments: Sequence[str], seconds: float = 10, directory: str | None = None,
+    batch_seconds: float | None = None, batch_calls: int | None = None,
+) -> DataFrame:
     """As ``emit`` for a program, given the columns as further arguments. Its lines count only if it
-    ends well and in time; it is killed when its time is up. No shell is involved."""
+    ends well and in time; it is killed when its time is up. No shell is involved. Rows of an Arrow batch that are
+    not reached within ``batch_seconds`` or ``batch_calls`` have the error ``not called``."""
     ship_package(slots.sparkSession)
     argv, names = list(command), list(arguments)
 
+    def call(row: dict, left: float) -> list[tuple]:
+        try:
+            done = subprocess.run([*argv, *[str(row[a]) for a in names]], capture_output=True, text=True, timeout=min(seconds, left), cwd=directory, stdin=subprocess.DEVNULL)
+        except subprocess.TimeoutExpired:
+            return [(row["slot"], None, "timeout")]
+        if done.returncode:
+            return [(row["slot"], None, f"exit {done.returncode}")]
+        return [(row["slot"], n, None) for n in done.stdout.split()]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for row in b.to_dict("records"):
-                try:
-                    done = subprocess.run([*argv, *[str(row[a]) for a in names]], capture_output=True, text=True, timeout=seconds, cwd=directory, stdin=subprocess.DEVNULL)
-                    if done.returncode:
-                        out.append((row["slot"], None, f"exit {done.returncode}"))
-                    else:
-                        out += [(row["slot"], n, None) for n in done.stdout.split()]
-                except subprocess.TimeoutExpired:
-                    out.append((row["slot"], None, "timeout"))
+            out, end = [], time.monotonic() + (batch_seconds or float("inf"))
+            for i, row in enumerate(b.to_dict("records")):
+                left = end - time.monotonic()
+                out += call(row, left) if left > 0 and (batch_calls is None or i < batch_calls) else [(row["slot"], None, "not called")]
             yield pd.DataFrame(out, columns=["slot", "raw", "error"]).astype({"slot": "int64"})
 
     return slots.select("slot", *[n for n in names if n != "slot"]).mapInPandas(run, EMITTED)
