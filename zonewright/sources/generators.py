@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .. import storage
 from ..functions.names import strict_name, strict_reason
-from ..operators import dedup, quota, space
+from ..operators import dedup, quota, sampling, space
 from ..operators.stats import DATE_PARAMETERS, FAMILIES, SEED_PARAMETERS
 from ..session import Scope, materialize, ship_package, shuffle_partitions
 
@@ -427,6 +427,11 @@ class Run:
         return s.held < s.cap and s.idle < self.patience and s.broken < self.max_errors
 
     def _step(self, s: Source) -> None:
+        with Scope(self.spark):
+            self._ask(s)
+        self._save()
+
+    def _ask(self, s: Source) -> None:
         n = min(batch_size(self.full_batch, s.last_yield, s.cap - s.held) * s.width, max(s.cap - s.held, 1))
         slots = self.spark.range(s.cursor, s.cursor + n, 1, min(shuffle_partitions(self.spark), max(n // 100, 1))).withColumnRenamed("id", "slot")
         made = s.make(slots)
@@ -437,8 +442,10 @@ class Run:
         batch = self.spark.read.schema("slot bigint, domain string, reason string").parquet(path)
         fresh = materialize(dedup.insert_or_ignore(self.names(), batch.where("reason IS NULL").select("domain", "slot"), "domain", "slot"), "fresh")
         new, room = fresh.count(), s.cap - s.held
-        if new > room:
-            fresh = fresh.orderBy("slot", "domain").limit(room)  # at most the rest of a cap, in the last batch of a source
+        if new > room:  # up to the slot in which the cap is reached, and of that slot's names the first ones
+            last = sampling.nth_smallest(fresh, "slot", room)
+            whole = fresh.where(F.col("slot") < last)
+            fresh = whole.unionByName(fresh.where(F.col("slot") == last).orderBy("domain").limit(room - whole.count()))
         self.epoch += 1
         fresh.select("domain", F.lit(s.code).alias("algorithm_code"), F.col("slot").alias("seq")).write.mode("overwrite").parquet(f"{self.store}/names/epoch={self.epoch}")
         told = {r["reason"]: r["count"] for r in batch.groupBy("reason").count().collect()}
@@ -451,7 +458,6 @@ class Run:
         s.broken = s.broken + 1 if total and told.get("error", 0) == total else 0
         s.width = s.width * 2 if s.last_yield >= BATCH_STEPS[0][0] else 1
         self.barren = 0 if got else self.barren + 1
-        self._save()
 
     def _beat(self) -> None:
         if time.monotonic() - self._told >= self.heartbeat:
@@ -462,15 +468,14 @@ class Run:
         """Names held of each source when all have ended or the target is reached, or after so many epochs."""
         left = epochs if epochs is not None else 10**9
         held = lambda: sum(s.held for s in self.sources)
-        with Scope(self.spark):
-            while left > 0 and (todo := [s for s in self.sources if self._open(s)]) and self.barren <= max(3 * len(self.sources), LEAST_BARREN):
-                for s in todo[:1] if self.ordered else todo:
-                    if left > 0 and (target is None or held() < target):
-                        self._step(s)
-                        self._beat()
-                        left -= 1
-                if target is not None and held() >= target:
-                    break
+        while left > 0 and (todo := [s for s in self.sources if self._open(s)]) and self.barren <= max(3 * len(self.sources), LEAST_BARREN):
+            for s in todo[:1] if self.ordered else todo:
+                if left > 0 and (target is None or held() < target):
+                    self._step(s)
+                    self._beat()
+                    left -= 1
+            if target is not None and held() >= target:
+                break
         return {s.code: s.held for s in self.sources}
 
     def stop_reason(self, s: Source) -> str | None:
